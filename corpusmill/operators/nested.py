@@ -9,6 +9,8 @@ Elements may be missing, null, a plain text or number, an object with its text u
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,19 +26,30 @@ def _get(v: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(v, path, kind)
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def _is_object(v: Column) -> Column:
-    return _get(v, "$", "map<string,variant>").isNotNull()
+    """Whether a bound variant is an object; the costly cast runs only for what is written like one."""
+    return F.coalesce(_get(v, "$", "string").startswith("{") & _get(v, "$", "map<string,variant>").isNotNull(), F.lit(False))
+
+
+def _plain(v: Column) -> Column:
+    """The text of a plain value; null for objects and arrays."""
+    return _let(_get(v, "$", "string"), lambda s: F.when(s.startswith("{") & _get(v, "$", "map<string,variant>").isNotNull(), None).when(s.startswith("[") & _get(v, "$", "array<variant>").isNotNull(), None).otherwise(s))
 
 
 def _text(v: Column) -> Column:
     """The trimmed text of an element, '' if it has none."""
-    own = F.when(_is_object(v), _get(v, '$["#text"]', "string")).when(_get(v, "$", "array<variant>").isNotNull(), None).otherwise(_get(v, "$", "string"))
-    return F.coalesce(strip(own), F.lit(""))
+    return _let(v, lambda x: F.coalesce(strip(F.coalesce(_get(x, '$["#text"]', "string"), _plain(x))), F.lit("")))
 
 
 def _items(v: Column) -> Column:
     """An element that may be repeated, as an array."""
-    return F.when(v.isNull() | F.is_variant_null(v), F.array().cast("array<variant>")).otherwise(F.coalesce(_get(v, "$", "array<variant>"), F.array(v)))
+    one = lambda x: F.when(x.isNull() | F.is_variant_null(x), F.array().cast("array<variant>")).otherwise(F.coalesce(_get(x, "$", "array<variant>"), F.array(x)))
+    return _let(v, one)
 
 
 def _first(v: Column) -> Column:
@@ -44,7 +57,7 @@ def _first(v: Column) -> Column:
 
 
 def _digits(c: Column) -> Column:
-    return F.when(c.rlike("^[0-9]+$"), c)
+    return F.nullif(F.regexp_extract(c, "^[0-9]+$", 0), F.lit(""))
 
 
 def citations(raw: DataFrame, *, rec_id: str = "rec_id", payload: str = "payload") -> DataFrame:
@@ -56,12 +69,12 @@ def citations(raw: DataFrame, *, rec_id: str = "rec_id", payload: str = "payload
     parsed = raw.select(F.col(rec_id).alias("rec_id"), F.try_parse_json(F.col(payload)).alias("v"))
     article_of = _first(F.coalesce(_get(F.col("v"), "$.PubmedArticleSet.PubmedArticle"), _get(F.col("v"), "$.PubmedArticle")))
     citation = F.coalesce(_get(F.col("v"), "$.MedlineCitation"), _get(article_of, "$.MedlineCitation"))
-    c = parsed.select("rec_id", citation.alias("c")).filter(F.col("c").isNotNull())
+    c = parsed.select("rec_id", citation.alias("c"))
     parts = c.select(
         "rec_id", _digits(_text(_first(_get(F.col("c"), "$.PMID")))).alias("pmid"), _get(F.col("c"), "$.Article").alias("article"),
         _get(F.col("c"), "$.MeshHeadingList.MeshHeading").alias("mesh"), _get(F.col("c"), "$.DateCompleted.Year").alias("completed"),
     )
-    return parts.filter(F.col("pmid").isNotNull() & _is_object(F.col("article")))
+    return parts.filter(F.col("pmid").isNotNull() & _let(F.col("article"), _is_object))
 
 
 def _row(entity: str, parent: Column, number: Column, item: Column) -> Column:
@@ -70,21 +83,21 @@ def _row(entity: str, parent: Column, number: Column, item: Column) -> Column:
 
 def _year() -> Column:
     date = _get(F.col("article"), "$.Journal.JournalIssue.PubDate")
-    medline = F.regexp_extract(_text(_get(date, "$.MedlineDate")), r"\b(?:19|20)\d{2}\b", 0)
+    medline = F.nullif(F.regexp_extract(_text(_get(date, "$.MedlineDate")), r"\b(?:19|20)\d{2}\b", 0), F.lit(""))
     return F.coalesce(
-        _digits(_text(_get(date, "$.Year"))), F.when(medline != "", medline),
+        _digits(_text(_get(date, "$.Year"))), medline,
         _digits(_text(_get(_first(_get(F.col("article"), "$.ArticleDate")), "$.Year"))), _digits(_text(F.col("completed"))),
     )
 
 
 def _sections() -> Column:
-    both = F.transform(_items(_get(F.col("article"), "$.Abstract.AbstractText")), lambda s: F.struct(F.coalesce(strip(F.when(_is_object(s), _get(s, '$["@Label"]', "string"))), F.lit("")).alias("label"), _text(s).alias("body")))
+    both = F.transform(_items(_get(F.col("article"), "$.Abstract.AbstractText")), lambda s: F.struct(F.coalesce(strip(_get(s, '$["@Label"]', "string")), F.lit("")).alias("label"), _text(s).alias("body")))
     return F.filter(both, lambda s: (s["label"] != "") | (s["body"] != ""))
 
 
 def _authors() -> Column:
     """Of each author the position, the name and the affiliations with theirs."""
-    place = lambda a: F.when(_is_object(a), _text(_get(a, "$.Affiliation"))).otherwise(_text(a))
+    place = lambda a: F.coalesce(F.nullif(_text(_get(a, "$.Affiliation")), F.lit("")), _text(a))
     name = lambda a: F.coalesce(F.nullif(_text(_get(a, "$.LastName")), F.lit("")), _text(_get(a, "$.CollectiveName")))
     return F.transform(
         _items(_get(F.col("article"), "$.AuthorList.Author")),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.operators import changes, nested
+from corpusmill.operators import changes, nested, quality
 from corpusmill.plans.tables import table
+from corpusmill.session import checkpointed
 
 FIELDS = ("title", "abstract", "year", "journal")
 
@@ -35,6 +36,45 @@ def p2_patched(spark: SparkSession, d: str) -> DataFrame:
     return changes.apply_changes(table(spark, d, "article_changes"), "pmid", FIELDS, update="patch", trace=False)
 
 
+#: Fixed values of the problem: the years that an article can have.
+YEARS = (1800, 2027)
+
+
+def _load_profiles(articles: DataFrame) -> dict[str, DataFrame]:
+    counts = {
+        "title": quality.text_counts(articles, "title", load="basename", markup=True),
+        "abstract": quality.text_counts(articles, "abstract", load="basename"),
+        "year": quality.number_counts(articles, "year", *YEARS, load="basename"),
+    }
+    return {f: quality.load_profile(checkpointed(c), f) for f, c in counts.items()}
+
+
+def p4_profile(spark: SparkSession, d: str) -> DataFrame:
+    """The measures of every load and field, long."""
+    profiles = list(_load_profiles(table(spark, d, "articles")).values())
+    return profiles[0].unionByName(profiles[1]).unionByName(profiles[2])
+
+
+def p4_departures(spark: SparkSession, d: str) -> DataFrame:
+    """Which loads depart from the others, in which measure, with the usual value beside it."""
+    x = quality.Limits()
+    shared = {"null_rate": x.rate, "repeats": x.distinct, "top_share": x.distinct, "divergence": x.divergence}
+    out = None
+    for field, profile in _load_profiles(table(spark, d, "articles")).items():
+        found = quality.departures(profile, shared | {"center": x.position if field == "year" else x.length}, x)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    articles = table(spark, d, "articles")
+    at = {"key": "pmid", "load": "basename"}
+    values = quality.text_violations(articles, "title", markup=True, **at).unionByName(quality.text_violations(articles, "abstract", **at))
+    values = values.unionByName(quality.range_violations(articles, "year", *YEARS, **at))
+    loads = p4_departures(spark, d).select("field", "load", F.lit(0).cast("bigint").alias("key"))
+    return values.unionByName(loads).select("field", F.col("load").alias("basename"), F.col("key").alias("pmid")).distinct()
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_articles": p1_articles,
@@ -42,6 +82,9 @@ QUERIES = {
     "p2_found": p2_found,
     "p2_state": p2_state,
     "p2_patched": p2_patched,
+    "p4_found": p4_found,
+    "p4_profile": p4_profile,
+    "p4_departures": p4_departures,
 }
 
 _CHANGES = r"""
