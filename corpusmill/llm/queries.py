@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from corpusmill.llm import lookalike, neighbors, packing, tokenizer
+from corpusmill.llm import dedup, lookalike, neighbors, packing, tokenizer
 from corpusmill.plans.tables import table
 
 #: Capacity of a container in tokens, given by the problem.
 CAPACITY = 2048
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.expanded(*dedup.similar_representatives(table(spark, d, "articles")))
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.groups(*dedup.similar_representatives(table(spark, d, "articles")))
+
+
 def p6_nearest(spark: SparkSession, d: str) -> DataFrame:
     return neighbors.nearest(table(spark, d, "article_vectors"), table(spark, d, "embedded_pmids"))
 
@@ -45,6 +52,8 @@ def p9_normalized(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p3_found": p3_found,
+    "p3_groups": p3_groups,
     "p6_found": p6_found,
     "p6_nearest": p6_nearest,
     "p7_ids": p7_ids,
