@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import dedup, lookalike, neighbors, packing, tokenizer
+from corpusmill.llm import dedup, lookalike, neighbors, packing, tokenizer, truncation
 from corpusmill.plans.tables import table
 
 #: Capacity of a container in tokens, given by the problem.
@@ -19,6 +19,19 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return dedup.groups(*dedup.similar_representatives(table(spark, d, "articles")))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(table(spark, d, "articles")).select("pmid").distinct()
+
+
+def p5_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(table(spark, d, "articles"))
+
+
+def p5_journals(spark: SparkSession, d: str) -> DataFrame:
+    articles = table(spark, d, "articles")
+    return truncation.by_source(articles, truncation.truncated(articles))
+
+
 def p6_nearest(spark: SparkSession, d: str) -> DataFrame:
     return neighbors.nearest(table(spark, d, "article_vectors"), table(spark, d, "embedded_pmids"))
 
@@ -54,6 +67,9 @@ def p9_normalized(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_groups": p3_groups,
+    "p5_found": p5_found,
+    "p5_reasons": p5_reasons,
+    "p5_journals": p5_journals,
     "p6_found": p6_found,
     "p6_nearest": p6_nearest,
     "p7_ids": p7_ids,
