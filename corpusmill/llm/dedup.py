@@ -15,17 +15,18 @@ maximum, and the chance that two registers are equal is the Jaccard similarity o
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import WS, strip
 from corpusmill.session import checkpointed
 
-BANDS, ROWS = 32, 8
+BANDS, ROWS = 28, 8
 _REGISTERS = BANDS * ROWS
 #: Spacing of the ranks, and the largest rank.
 _BASE, _TOP = 1.1, 255
@@ -36,6 +37,15 @@ _WORD = re.compile(r"[^\W_]+")
 _DOCS = 2000
 
 
+# Words so common that sharing them says nothing. They count in the verification but not in sketches, whose
+# chance meetings they would multiply.
+COMMON = (
+    "a an and are as at be been but by for from had has have if in into is it its may more most no not of on only or our "
+    "over such than that the their them these they this those to under was we were what when where which while who whose "
+    "with within without would"
+).split()
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     with np.errstate(over="ignore"):
@@ -60,7 +70,12 @@ class Bags:
 
     def __init__(self, most: int = 60_000):
         self.most = most
-        self.words: dict[str, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: defaultdict[str, int] = defaultdict(count().__next__)
+        for w in COMMON:
+            self.words[w]  # the first numbers
         self.rows: dict[int, int] = {}
         self.hashes = np.zeros(0, np.uint64)
         self.values = np.zeros((0, _REGISTERS), np.uint8)
@@ -68,14 +83,14 @@ class Bags:
     def elements(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text number, word number and occurrence (from 0) of all elements, by text."""
         if len(self.words) > self.most:
-            self.words, self.rows, self.hashes, self.values = {}, {}, np.zeros(0, np.uint64), np.zeros((0, _REGISTERS), np.uint8)
+            self._forget()
         words = self.words
-        ids = np.fromiter((words.setdefault(w, len(words)) for t in texts for w in t), np.int64)
+        lengths = [len(t) for t in texts]
+        ids = np.fromiter(map(words.__getitem__, chain.from_iterable(texts)), np.int64, sum(lengths))
         if len(words) > len(self.hashes):
-            new = list(words)[len(self.hashes) :]
-            raw = pd.util.hash_array(np.array(new, object), categorize=False).astype(np.uint64)
-            self.hashes = np.concatenate([self.hashes, raw])
-        doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+            new = list(islice(words, len(self.hashes), None))
+            self.hashes = np.concatenate([self.hashes, pd.util.hash_array(np.array(new, object), categorize=False).astype(np.uint64)])
+        doc = np.repeat(np.arange(len(texts)), lengths)
         key, n = np.unique(doc * (len(words) + 1) + ids, return_counts=True)
         occurrence = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         return np.repeat(key // (len(words) + 1), n), np.repeat(key % (len(words) + 1), n), occurrence
@@ -87,6 +102,9 @@ class Bags:
     def sketches(self, texts: list[list[str]]) -> np.ndarray:
         """Registers (texts x registers); no text may be empty."""
         doc, word, occurrence = self.elements(texts)
+        telling = word >= len(COMMON)
+        telling |= np.bincount(doc, telling, len(texts))[doc] == 0  # a text of nothing but common words keeps them
+        doc, word, occurrence = doc[telling], word[telling], occurrence[telling]
         code = word * 4096 + np.minimum(occurrence, 4095)
         different, back = np.unique(code, return_inverse=True)
         rows = self.rows
@@ -97,7 +115,16 @@ class Bags:
                 rows[x] = i
             self.values = np.concatenate([self.values, ranks(self.hash(c // 4096, c % 4096))])
         at = np.array([rows[c] for c in different.tolist()], np.int64)[back]
-        return np.maximum.reduceat(self.values[at], np.searchsorted(doc, np.arange(len(texts))), axis=0)
+        # one element of every text at a time, longest texts first
+        n = np.bincount(doc, minlength=len(texts))
+        order = np.argsort(-n, kind="stable")
+        begin, still = (np.cumsum(n) - n)[order], np.searchsorted(-n[order], -np.arange(n.max()), side="left")
+        s = np.zeros((len(texts), _REGISTERS), np.uint8)
+        for i, rest in enumerate(still.tolist()):
+            np.maximum(s[:rest], self.values[at[begin[:rest] + i]], out=s[:rest])
+        out = np.empty_like(s)
+        out[order] = s
+        return out
 
 
 def words_of(title: str | None, abstract: str | None) -> list[str]:
@@ -164,9 +191,9 @@ def _candidates(bands: DataFrame, share: float) -> DataFrame:
     byte = lambda c, i: F.shiftright(F.col(c), 8 * i).bitwiseAND(F.lit(255))
     a = bands.select("bucket", F.col("id").alias("a"), F.col("extra").alias("ea"))
     b = bands.select("bucket", F.col("id").alias("b"), F.col("extra").alias("eb"))
-    count = lambda f: sum((f(byte("ea", i), byte("eb", i)).cast("int") for i in range(1, _EXTRA)), f(byte("ea", 0), byte("eb", 0)).cast("int"))
+    registers = lambda f: sum((f(byte("ea", i), byte("eb", i)).cast("int") for i in range(1, _EXTRA)), f(byte("ea", 0), byte("eb", 0)).cast("int"))
     met = a.join(b, "bucket").filter(F.col("a") < F.col("b"))
-    met = met.select("a", "b", count(lambda x, y: x < y).alias("less"), count(lambda x, y: x == y).alias("equal"), F.shiftright("ea", 8 * _EXTRA).alias("na"), F.shiftright("eb", 8 * _EXTRA).alias("nb"))
+    met = met.select("a", "b", registers(lambda x, y: x < y).alias("less"), registers(lambda x, y: x == y).alias("equal"), F.shiftright("ea", 8 * _EXTRA).alias("na"), F.shiftright("eb", 8 * _EXTRA).alias("nb"))
     seen = met.groupBy("a", "b").agg(F.sum("less").alias("less"), F.sum("equal").alias("equal"), F.count("*").alias("bands"), F.first("na").alias("na"), F.first("nb").alias("nb"))
 
     @F.pandas_udf("double")
@@ -211,7 +238,8 @@ def similar_representatives(docs: DataFrame, *, key: str = "pmid", title: str =
     """
     v = F.col("abstract")
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(title).alias("title"), F.col(abstract).alias("abstract")).filter(F.col("id").isNotNull() & v.isNotNull())
-    texts = texts.filter(F.size(F.split(strip(v), f"{WS}+")) >= min_words)
+    blanks = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u2002\u2003\u2007\u2009\u202f\u3000"
+    texts = texts.filter(F.size(F.array_remove(F.split(F.translate(v, blanks, " " * len(blanks)), " "), "")) >= min_words)
     same = F.concat_ws("\u0000", F.coalesce("title", F.lit("")), v)
     hashed = texts.select("id", F.xxhash64(same).alias("h1"), F.xxhash64(F.lit(1), same).alias("h2")).distinct()
     equal = hashed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n")).filter("n > 1")
