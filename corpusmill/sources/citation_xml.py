@@ -57,8 +57,8 @@ def _year(citation: ElementTree.Element, article: ElementTree.Element) -> int |
 
 
 def _abstract(article: ElementTree.Element) -> str | None:
-    parts = []
-    for e in _child(article, "Abstract") or ():
+    parts, whole = [], _child(article, "Abstract")
+    for e in whole if whole is not None else ():
         if _name(e) == "AbstractText":
             body, label = _full_text(e) or "", e.get("Label")
             text = f"{label}: {body}".strip() if label else body
