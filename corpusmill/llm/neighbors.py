@@ -147,7 +147,7 @@ def _usable(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack(x: np.ndarray) -> list[bytes]:
-    """16-bit steps of each vector's largest entry, with the step in front: an error of a few millionths of a cosine."""
+    """16-bit steps of each vector's largest entry, with the step in front: an error of a few hundred-thousandths of a cosine at most."""
     step = (np.abs(x).max(axis=1) / 32767).astype(np.float32)
     q = np.rint(x / step[:, None]).astype("<i2")
     raw = np.hstack([step.astype("<f4")[:, None].view(np.uint8), q.view(np.uint8).reshape(len(x), -1)])
@@ -207,11 +207,10 @@ def _in_leaf(table: pa.Table, k: int) -> pa.Table:
             by = np.lexsort((ids[near], -score), axis=1)[:, :k]
             score, near = np.take_along_axis(score, by, 1), np.take_along_axis(near, by, 1)
             for i in range(b - a):
-                real = np.isfinite(score[i])
-                if real.any():
-                    out_id.append(ids[a + i])
-                    out_near.append(ids[near[i][real]])
-                    out_score.append(-score[i][real])
+                real = np.isfinite(score[i])  # a vector alone in its leaf gets an empty list
+                out_id.append(ids[a + i])
+                out_near.append(ids[near[i][real]])
+                out_score.append(-score[i][real])
     return pa.table(
         {"id": pa.array(out_id, pa.int64()), "near": pa.array([x.tolist() for x in out_near], pa.list_(pa.int64())), "away": pa.array([x.tolist() for x in out_score], pa.list_(pa.float64()))}
     )
@@ -276,16 +275,18 @@ def nearest(
     # a vector has a list per visit, a bounded number
     merged = lists.groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("away", "near"))))), 1, k).alias("c"))
 
-    # back to all keys: a neighbour stands for the k least keys with its vector
+    # back to all keys, in one pass over the lists: a neighbour stands for the k least keys with its vector, and a list
+    # goes to every key that has the vector, after those keys themselves
     firsts = equal.withColumn("n", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).filter(F.col("n") <= k + 1).groupBy("rep").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    near = merged.select("id", F.explode("c").alias("c")).select("id", F.col("c.away").alias("away"), F.col("c.near").alias("near"))
+    firsts = checkpointed(firsts)
+    near = merged.select("id", F.explode_outer("c").alias("c")).select("id", F.col("c.away").alias("away"), F.col("c.near").alias("near"))
     wide = near.join(hint(firsts.withColumnRenamed("rep", "near")), "near", "left").select("id", "away", F.explode(F.coalesce(F.slice("ids", 1, k), F.array("near"))).alias("near"))
-    others = wide.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("away", "near"))), 1, k).alias("c"))
-    single = others.join(hint(equal.select(F.col("rep").alias("id")).distinct()), "id", "left_anti").select("id", "c")
-    copies = equal.join(hint(firsts), "rep").join(others.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "id", F.concat(F.transform(F.filter("ids", lambda i: i != F.col("id")), lambda i: F.struct(F.lit(-1.0).alias("away"), i.alias("near"))), F.coalesce("c", F.array().cast("array<struct<away:double,near:bigint>>"))).alias("c")
-    )
-    every = single.unionByName(copies.select("id", F.slice(F.array_sort("c"), 1, k).alias("c")))
+    listed = F.filter(F.collect_list(F.struct("away", "near")), lambda c: c["near"].isNotNull())
+    others = wide.groupBy("id").agg(F.slice(F.array_sort(listed), 1, k).alias("c"))
+    spread = others.join(hint(equal.select(F.col("rep").alias("id"), F.col("id").alias("copy"))), "id", "left").join(hint(firsts.withColumnRenamed("rep", "id")), "id", "left")
+    own = F.coalesce(F.transform("ids", lambda i: F.struct(F.lit(-1.0).alias("away"), i.alias("near"))), F.array().cast("array<struct<away:double,near:bigint>>"))
+    every = spread.select(F.coalesce("copy", "id").alias("id"), F.concat(own, "c").alias("c"))
+    every = every.select("id", F.slice(F.array_sort(F.filter("c", lambda c: c["near"] != F.col("id"))), 1, k).alias("c"))
     out = every.select("id", F.posexplode("c").alias("n", "c"))
     return out.select(F.col("id").alias(key), F.col("c.near").alias("near"), (F.col("n") + 1).alias("rank"), F.round(-F.col("c.away"), 6).alias("score"))
 
