@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.session import checkpointed
+
 # Letters that look alike, by script; a line is one look, "" where a script doesn't have it.
 LETTERS = [
     # Latin, Cyrillic, Greek
@@ -213,7 +215,7 @@ def look_alikes(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> Da
     Looks that are written in one way only are dropped in an aggregation first; texts are then paired once per pair of
     spellings and expanded by their rows. Null, empty and blank texts are in no pair.
     """
-    rows = look_classes(df, key=key, text=text)
+    rows = checkpointed(look_classes(df, key=key, text=text))  # two hashes a row; texts are normalised once
     spelt = rows.groupBy("look_id").agg(F.min("text_id").alias("least"), F.max("text_id").alias("most")).filter(F.col("least") != F.col("most"))
     kept = rows.join(spelt.select("look_id"), "look_id", "left_semi")
     a, b = kept.select("look_id", F.col(key).alias(f"{key}_a"), F.col("text_id").alias("ta")), kept.select("look_id", F.col(key).alias(f"{key}_b"), F.col("text_id").alias("tb"))
