@@ -53,19 +53,19 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[Slot], int]:
         while at >= 0 and large[at] not in left:
             del large[at]
             at -= 1
+        if at >= 0 and large[at] == s and left[s] == 1:  # the last of its size looks for a smaller partner
+            at -= 1
+            while at >= 0 and large[at] not in left:
+                at -= 1
         partner = large[at] if at >= 0 else None
         if partner is None:
             n = left[s]
             take(s, n, opened)
             gaps[capacity - s].append((opened, n))
         elif partner == s:
-            n = -(-left[s] // 2)
-            odd = left[s] % 2
+            n = left[s] // 2
             take(s, n, opened, 2)
-            if n - odd:
-                gaps[capacity - 2 * s].append((opened, n - odd))
-            if odd:
-                gaps[capacity - s].append((opened + n - 1, 1))
+            gaps[capacity - 2 * s].append((opened, n))
         else:
             n = min(left[s], left[partner])
             take(s, n, opened)

@@ -162,7 +162,7 @@ def _shorter(c: Column) -> tuple[Column, Column]:
 
 def _limits(lengths: DataFrame, name: str) -> DataFrame:
     """Lengths at which unfinished values pile up: five more than four times the fifth largest count of the twenty around."""
-    n = lengths.groupBy(name).agg(F.count("*").alias("n"))
+    n = lengths.groupBy(name).agg(F.count_distinct("same").alias("n"))  # copies of one text are one value
     around = n.select(F.explode(F.expr(f"transform(filter(sequence(-10, 10), i -> i <> 0), i -> {name} + i)")).alias(name), F.col("n").alias("m"))
     usual = around.groupBy(name).agg(F.coalesce(F.get(F.sort_array(F.collect_list("m"), asc=False), 4), F.lit(0)).alias("usual"))
     return n.join(usual, name, "left").filter(F.col("n") >= 5 + 4 * F.coalesce("usual", F.lit(0))).select(name)
@@ -178,7 +178,7 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     v = F.col("text")
     texts = df.select(F.col(key).alias("id"), rstrip(text).alias("text")).filter(v.isNotNull() & (v != "") & ~v.rlike(STAND_IN))
     open_end = texts.filter(~v.rlike(FINISHED) | v.rlike(MARK)).filter(distinct_words(v) > Limits().few_words)
-    open_end = checkpointed(open_end.select("id", "text", v.rlike(MARK).alias("mark"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes")))
+    open_end = checkpointed(open_end.select("id", "text", v.rlike(MARK).alias("mark"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("same")))
     kind = dict(open_end.dtypes)["id"]
 
     words = checkpointed(vocabulary(texts.select("text")))
