@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.text import WS, strip
 from corpusmill.session import checkpointed
 
 BANDS, ROWS = 28, 8
@@ -136,27 +137,32 @@ def _texts(batch: pd.DataFrame) -> list[list[str]]:
     return [words_of(t, a) for t, a in zip(batch["title"], batch["abstract"])]
 
 
-def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _bands(min_words: int):
     """bucket, id and extra of every band: extra has six registers of the next band and the size of the text."""
-    bags = Bags()
     powers = np.array([pow(0x100000001B3, i, 2**64) for i in range(ROWS)], np.uint64)
-    for batch in batches:
-        for begin in range(0, len(batch), _DOCS):
-            part = batch.iloc[begin : begin + _DOCS]
-            texts = _texts(part)
-            real = [i for i, t in enumerate(texts) if t]
-            if not real:
-                continue
-            texts = [texts[i] for i in real]
-            s = bags.sketches(texts).reshape(len(texts), BANDS, ROWS)
-            with np.errstate(over="ignore"):
-                bucket = _mix((s.astype(np.uint64) * powers).sum(2, dtype=np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64))
-            sizes = np.minimum([len(t) for t in texts], 0x7FFF).astype(np.int64)
-            extra = np.repeat(sizes[:, None] << (8 * _EXTRA), BANDS, axis=1)
-            following = np.roll(s, -1, axis=1)
-            for i in range(_EXTRA):
-                extra |= following[:, :, i].astype(np.int64) << (8 * i)
-            yield pd.DataFrame({"bucket": bucket.view(np.int64).ravel(), "id": np.repeat(part["id"].to_numpy()[real], BANDS), "extra": extra.ravel()})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bags = Bags()
+        for batch in batches:
+            batch = batch[[len(a.split()) >= min_words for a in batch["abstract"]]]
+            for begin in range(0, len(batch), _DOCS):
+                part = batch.iloc[begin : begin + _DOCS]
+                texts = _texts(part)
+                real = [i for i, t in enumerate(texts) if t]
+                if not real:
+                    continue
+                texts = [texts[i] for i in real]
+                s = bags.sketches(texts).reshape(len(texts), BANDS, ROWS)
+                with np.errstate(over="ignore"):
+                    bucket = _mix((s.astype(np.uint64) * powers).sum(2, dtype=np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64))
+                sizes = np.minimum([len(t) for t in texts], 0x7FFF).astype(np.int64)
+                extra = np.repeat(sizes[:, None] << (8 * _EXTRA), BANDS, axis=1)
+                following = np.roll(s, -1, axis=1)
+                for i in range(_EXTRA):
+                    extra |= following[:, :, i].astype(np.int64) << (8 * i)
+                yield pd.DataFrame({"bucket": bucket.view(np.int64).ravel(), "id": np.repeat(part["id"].to_numpy()[real], BANDS), "extra": extra.ravel()})
+
+    return run
 
 
 def _bag_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,16 +244,18 @@ def similar_representatives(docs: DataFrame, *, key: str = "pmid", title: str =
     """
     v = F.col("abstract")
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(title).alias("title"), F.col(abstract).alias("abstract")).filter(F.col("id").isNotNull() & v.isNotNull())
-    blanks = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u2002\u2003\u2007\u2009\u202f\u3000"
-    texts = texts.filter(F.size(F.array_remove(F.split(F.translate(v, blanks, " " * len(blanks)), " "), "")) >= min_words)
     same = F.concat_ws("\u0000", F.coalesce("title", F.lit("")), v)
     hashed = texts.select("id", F.xxhash64(same).alias("h1"), F.xxhash64(F.lit(1), same).alias("h2")).distinct()
     equal = hashed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n")).filter("n > 1")
     copies = checkpointed(hashed.join(equal, ["h1", "h2"]).select("rep", "id"))
-    later = copies.filter("id <> rep").select("id")
     few = copies.count() <= _BROADCAST_ROWS
+    later = copies.filter("id <> rep").select("id")
     firsts = texts.join(F.broadcast(later) if few else later, "id", "left_anti")
-    bands = firsts.mapInPandas(_bands, "bucket bigint, id bigint, extra bigint")
+    # of a class all texts are long enough or none is
+    reps = copies.select(F.col("rep").alias("id")).distinct()
+    long = texts.join(F.broadcast(reps) if few else reps, "id", "left_semi").filter(F.size(F.split(strip(v), f"{WS}+")) >= min_words).select(F.col("id").alias("rep")).distinct()
+    copies = checkpointed(copies.join(long, "rep", "left_semi"))
+    bands = firsts.mapInPandas(_bands(min_words), "bucket bigint, id bigint, extra bigint")
     pairs = checkpointed(_candidates(bands, share))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = texts.join(F.broadcast(ids) if ids.count() <= _BROADCAST_ROWS else ids, "id", "left_semi")
