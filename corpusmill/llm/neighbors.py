@@ -218,7 +218,7 @@ def _in_leaf(table: pa.Table, k: int) -> pa.Table:
 
 def nearest(
     vectors: DataFrame, members: DataFrame, *, k: int = 10, key: str = "pmid", vector: str = "embedding", dim: int = 64,
-    trees: int = 2, visits: int = 2, leaf: int = 6_000, sample: int = 50_000, seed: int = 7,
+    trees: int = 2, visits: int = 2, leaf: int = 8_000, sample: int = 50_000, seed: int = 7,
 ) -> DataFrame:
     """key, near, rank (from 1) and score (cosine): the k most similar of every key of members with a usable vector.
 
