@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: The white space that Unicode-aware strip() and split() know, as a Java character class.
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
+#: The same as single characters: trimming them looks at the ends of a text only.
+WS_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def _col(c: Column | str) -> Column:
@@ -15,11 +17,11 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(F.regexp_replace(_col(c), f"^{WS}+", ""), f"{WS}+$", "")
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def rstrip(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), f"{WS}+$", "")
+    return F.rtrim(_col(c), F.lit(WS_CHARS))
 
 
 def is_blank(c: Column | str) -> Column:

@@ -67,14 +67,22 @@ def citations(raw: DataFrame, *, rec_id: str = "rec_id", payload: str = "payload
     PMID of digits only and an Article. Null, empty, cut and foreign payloads give no row.
     """
     parsed = raw.select(F.col(rec_id).alias("rec_id"), F.try_parse_json(F.col(payload)).alias("v"))
-    article_of = _first(F.coalesce(_get(F.col("v"), "$.PubmedArticleSet.PubmedArticle"), _get(F.col("v"), "$.PubmedArticle")))
-    citation = F.coalesce(_get(F.col("v"), "$.MedlineCitation"), _get(article_of, "$.MedlineCitation"))
-    c = parsed.select("rec_id", citation.alias("c"))
-    parts = c.select(
-        "rec_id", _digits(_text(_first(_get(F.col("c"), "$.PMID")))).alias("pmid"), _get(F.col("c"), "$.Article").alias("article"),
-        _get(F.col("c"), "$.MeshHeadingList.MeshHeading").alias("mesh"), _get(F.col("c"), "$.DateCompleted.Year").alias("completed"),
-    )
-    return parts.filter(F.col("pmid").isNotNull() & _let(F.col("article"), _is_object))
+
+    def parts(c: Column) -> Column:
+        return F.struct(
+            _digits(_text(_first(_get(c, "$.PMID")))).alias("pmid"), _get(c, "$.Article").alias("article"),
+            _get(c, "$.MeshHeadingList.MeshHeading").alias("mesh"), _get(c, "$.DateCompleted.Year").alias("completed"),
+        )
+
+    inner = lambda v: _first(F.coalesce(_get(v, "$.PubmedArticleSet.PubmedArticle"), _get(v, "$.PubmedArticle")))
+    found = _let(F.col("v"), lambda v: _let(F.coalesce(_get(v, "$.MedlineCitation"), _get(inner(v), "$.MedlineCitation")), parts))
+    usable = F.filter(F.array(found), lambda p: p["pmid"].isNotNull() & _is_object(p["article"]))
+    return _rows(parsed, "rec_id", usable, "article")
+
+
+def _rows(df: DataFrame, keep: str, items: Column, filled: str) -> DataFrame:
+    """inline() of an array that is computed once: for a plain inline the optimiser would add a filter that computes it again."""
+    return df.select(keep, F.inline_outer(items)).filter(F.col(filled).isNotNull())
 
 
 def _row(entity: str, parent: Column, number: Column, item: Column) -> Column:
@@ -141,13 +149,13 @@ def items(raw: DataFrame, **columns: str) -> DataFrame:
     payloads under other ids are records of their own.
     """
     rows = _arrays(citations(raw, **columns)).select("rec_id", F.concat(*ENTITIES).alias("rows"))
-    return rows.select("rec_id", F.inline("rows"))
+    return _rows(rows, "rec_id", F.col("rows"), "entity")
 
 
 def tables(raw: DataFrame, **columns: str) -> dict[str, DataFrame]:
     """A table per entity (rec_id, parent_no, item_no, item), "text" with the section texts, and "articles"."""
     arrays = _arrays(citations(raw, **columns))
-    out = {e: arrays.select("rec_id", F.inline(e)).drop("entity") for e in (*ENTITIES, "text")}
+    out = {e: _rows(arrays, "rec_id", F.col(e), "entity").drop("entity") for e in (*ENTITIES, "text")}
     return out | {"articles": articles(raw, **columns)}
 
 
