@@ -22,13 +22,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import rstrip
+from corpusmill.functions.text import WS_CHARS, rstrip
 from corpusmill.operators.quality import STAND_IN, Limits, distinct_words
 from corpusmill.session import checkpointed
 
-# Closing signs that may follow an end, and marks of cutting.
+# Stops, closing signs that may follow them, and marks of cutting.
+STOPS = (".", "!", "?", "。", "！", "？")
+CLOSERS = """"'»”’)]""" + WS_CHARS
 _CLOSERS = r"""["'»”’)\]\s\p{Z}]*$"""
-FINISHED = r"[.!?。！？]" + _CLOSERS
 MARK = (
     r"(?i)(?:\.{3,}|…|[\[(<{](?:\s*\.{2,}\s*|\s*…\s*|(?:read |see )?more|[^\[\](){}<>]{0,40}\b(?:truncat\w*|cut|cont(?:\.|inued|d)?|abridged|shortened|incomplete)(?![\w-])[^\[\](){}<>]{0,40})[\])>}])"
     + _CLOSERS
@@ -177,8 +178,10 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     """
     v = F.col("text")
     texts = df.select(F.col(key).alias("id"), rstrip(text).alias("text")).filter(v.isNotNull() & (v != "") & ~v.rlike(STAND_IN))
-    open_end = texts.filter(~v.rlike(FINISHED) | v.rlike(MARK)).filter(distinct_words(v) > Limits().few_words)
-    open_end = checkpointed(open_end.select("id", "text", v.rlike(MARK).alias("mark"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("same")))
+    stem = F.rtrim(v, F.lit(CLOSERS))
+    dots = stem.endswith("...") | stem.endswith("…")
+    open_end = texts.filter(dots | ~F.right(stem, F.lit(1)).isin(*STOPS)).filter(distinct_words(v) > Limits().few_words)
+    open_end = checkpointed(open_end.select("id", "text", (dots | v.rlike(MARK)).alias("mark"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("same")))
     kind = dict(open_end.dtypes)["id"]
 
     words = checkpointed(vocabulary(texts.select("text")))
