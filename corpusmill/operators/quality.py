@@ -166,5 +166,5 @@ def departures(profile: DataFrame, floors: dict[str, float], limits: Limits = Li
     spread = long.join(F.broadcast(usual), ["field", "measure"]).withColumn("off", F.abs(F.col("value") - F.col("usual")))
     mad = spread.groupBy("field", "measure").agg((F.percentile("off", 0.5) * 1.4826).alias("mad"))
     scale = F.when(F.col("measure") == "null_rate", F.col("rows")).otherwise(F.col("n"))
-    chance = F.col("floor") * 12 / F.sqrt(F.greatest(scale, F.lit(1)).cast("double"))
+    chance = F.col("floor") * 6 / F.sqrt(F.greatest(scale, F.lit(1)).cast("double"))
     return spread.join(F.broadcast(mad), ["field", "measure"]).filter((F.col("loads") >= 4) & (F.col("off") > F.greatest(F.col("floor"), limits.spread * F.col("mad")) + chance)).select("field", "load", "measure", "value", "usual")
