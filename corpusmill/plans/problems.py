@@ -101,7 +101,62 @@ seq as (
   select *, row_number() over (partition by pmid order by major, minor, (kind = 'd')::int, ordinal) n from one)
 """
 
+# The SQL for problem 1, put together from the same few readings of an element.
+_BLANKS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ' || chr(160) || chr(8194) || chr(8195) || chr(8201) || chr(12288)"
+
+
+def _sql_text(x: str) -> str:
+    inner = f"""case when json_type({x}->'$."#text"') in ('OBJECT', 'ARRAY') then null else {x}->>'$."#text"' end"""
+    return f"trim(coalesce(case json_type({x}) when 'OBJECT' then {inner} when 'ARRAY' then null else {x}->>'$' end, ''), {_BLANKS})"
+
+
+def _sql_items(x: str) -> str:
+    return f"(case when {x} is null or json_type({x}) = 'NULL' then []::json[] when json_type({x}) = 'ARRAY' then cast({x} as json[]) else [{x}] end)"
+
+
+def _sql_each(x: str) -> str:
+    return f"unnest({_sql_items(x)}) x, unnest(range(1, len({_sql_items(x)}) + 1))::int n"
+
+
+def _sql_digits(x: str) -> str:
+    return f"nullif(regexp_extract({_sql_text(x)}, '^[0-9]+$'), '')"
+
+
+_CITATIONS = rf"""
+with r as (select rec_id, try_cast(payload as json) j from raw_citations where json_valid(payload)),
+w as (select rec_id, j, {_sql_items("coalesce(j->'$.PubmedArticleSet.PubmedArticle', j->'$.PubmedArticle')")}[1] a from r where json_type(j) = 'OBJECT'),
+c as (select rec_id, coalesce(j->'$.MedlineCitation', a->'$.MedlineCitation') c from w),
+u as (select rec_id, c->'$.Article' a, c->'$.MeshHeadingList.MeshHeading' m, c->'$.DateCompleted.Year' d, c->'$.PMID' p from c),
+ok as (select *, a->'$.Journal.JournalIssue.PubDate' pd from u where json_type(a) = 'OBJECT' and {_sql_digits("p")} is not null),
+y as (select rec_id, coalesce({_sql_digits("(pd->'$.Year')")}, nullif(regexp_extract({_sql_text("(pd->'$.MedlineDate')")}, '\b(?:19|20)\d{{2}}\b'), ''),
+  {_sql_digits(f"({_sql_items("(a->'$.ArticleDate')")}[1]->'$.Year')")}, {_sql_digits("d")}) item from ok),
+s0 as (select rec_id, {_sql_each("(a->'$.Abstract.AbstractText')")} from ok),
+s1 as (select rec_id, n, trim(coalesce(case when json_type(x) = 'OBJECT' then x->>'$."@Label"' end, ''), {_BLANKS}) label, {_sql_text("x")} body from s0),
+s as (select rec_id, row_number() over (partition by rec_id order by n)::int n, label, body from s1 where label <> '' or body <> ''),
+au as (select rec_id, {_sql_each("(a->'$.AuthorList.Author')")} from ok),
+af as (select rec_id, n pn, {_sql_each("(x->'$.AffiliationInfo')")} from au),
+h as (select rec_id, {_sql_each("m")} from ok),
+q as (select rec_id, n pn, {_sql_each("(x->'$.QualifierName')")} from h)
+"""
+
 ORACLES = {
+    "p1_found": _CITATIONS + f"""
+select rec_id, entity, parent_no, item_no, item from (
+  select rec_id, 'year' entity, 0 parent_no, 1 item_no, item from y
+  union all select rec_id, 'journal', 0, 1, {_sql_text("(a->'$.Journal.Title')")} from ok
+  union all select rec_id, 'author', 0, n, coalesce(nullif({_sql_text("(x->'$.LastName')")}, ''), {_sql_text("(x->'$.CollectiveName')")}) from au
+  union all select rec_id, 'affiliation', pn, n, coalesce(nullif({_sql_text("(x->'$.Affiliation')")}, ''), {_sql_text("x")}) from af
+  union all select rec_id, 'heading', 0, n, {_sql_text("(x->'$.DescriptorName')")} from h
+  union all select rec_id, 'qualifier', pn, n, {_sql_text("x")} from q) where item <> ''
+union all select rec_id, 'section', 0, n, label from s
+""",
+    "p1_texts": _CITATIONS + "select rec_id, 0 parent_no, n item_no, body item from s",
+    "p1_articles": _CITATIONS + f"""
+select ok.rec_id, cast({_sql_digits("p")} as bigint) pmid, nullif({_sql_text("(a->'$.ArticleTitle')")}, '') title, t.abstract, try_cast(y.item as int) "year",
+  nullif({_sql_text("(a->'$.Journal.Title')")}, '') journal
+from ok join y using (rec_id) left join (
+  select rec_id, string_agg(case when label = '' then body else trim(label || ': ' || body, {_BLANKS}) end, chr(10) || chr(10) order by n) abstract from s group by 1) t using (rec_id)
+""",
     "p2_found": _CHANGES + """
 select pmid, basename, ordinal from seq qualify row_number() over (partition by pmid order by n desc) = 1 and kind <> 'd'
 """,
