@@ -218,5 +218,9 @@ def look_alikes(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> Da
     rows = checkpointed(look_classes(df, key=key, text=text))  # two hashes a row; texts are normalised once
     spelt = rows.groupBy("look_id").agg(F.min("text_id").alias("least"), F.max("text_id").alias("most")).filter(F.col("least") != F.col("most"))
     kept = rows.join(spelt.select("look_id"), "look_id", "left_semi")
-    a, b = kept.select("look_id", F.col(key).alias(f"{key}_a"), F.col("text_id").alias("ta")), kept.select("look_id", F.col(key).alias(f"{key}_b"), F.col("text_id").alias("tb"))
-    return a.join(b, "look_id").filter((F.col("ta") != F.col("tb")) & (F.col(f"{key}_a") < F.col(f"{key}_b"))).select(f"{key}_a", f"{key}_b").distinct()
+    # pairs of spellings first: many copies of one spelling never meet each other
+    ways = kept.select("look_id", "text_id").distinct()
+    met = ways.withColumnRenamed("text_id", "ta").join(ways.withColumnRenamed("text_id", "tb"), "look_id").filter(F.col("ta") < F.col("tb"))
+    side = lambda t, k: kept.select("look_id", F.col("text_id").alias(t), F.col(key).alias(k))
+    both = met.join(side("ta", "x"), ["look_id", "ta"]).join(side("tb", "y"), ["look_id", "tb"]).filter(F.col("x") != F.col("y"))
+    return both.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b")).distinct()
