@@ -20,7 +20,7 @@ from corpusmill.operators.pending import pending
 from corpusmill.store import VectorStore
 
 # Model names, tried as given and then in lower case; lengths that a server that rejects a text is offered.
-ALIASES = {"bge-large": "BAAI/bge-large-en-v1.5", "minilm": "sentence-transformers/all-MiniLM-L6-v2"}
+ALIASES = {"bge-large-en-v1.5": "BAAI/bge-large-en-v1.5", "sentence-transformers/bge-large-en-v1.5": "BAAI/bge-large-en-v1.5"}
 SHORTER = (262144, 131072, 65536, 32768, 16384, 8192, 4096)
 #: Chunk sizes of one commit: for providers that take batches, and for those that take texts one at a time.
 CHUNK_BATCHED, CHUNK_SINGLE = 5000, 50
@@ -141,6 +141,7 @@ def provider_name(name: str) -> str:
 
 
 def model_name(name: str) -> str:
+    name = name.strip()
     return ALIASES.get(name) or ALIASES.get(name.lower()) or name
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import changes
 from corpusmill.operators.pending import new_files
+from corpusmill.session import checkpointed
 from corpusmill.sources.citation_xml import read_changes
 from corpusmill.store import Table
 
@@ -34,26 +36,34 @@ def merged(current: DataFrame | None, feed: DataFrame, order: dict[str, int]) ->
     return changes.apply_changes(rows, "pmid", FIELDS, trace=False)
 
 
-def ingest(spark: SparkSession, root: str, paths: list[str], *, resume: bool = True, delete_scope: str = "first", on_corrupt: str = "fail") -> dict[str, int]:
-    """files, skipped, corrupt, upserts, deletes: what went into the articles under root.
+def ingest(spark: SparkSession, root: str, paths: list[str], *, resume: bool = True, delete_scope: str = "first", on_corrupt: str = "fail", refetch: Callable[[str], None] | None = None, attempts: int = 5) -> dict[str, int]:
+    """files, skipped, corrupt, refetched, upserts, deletes: what went into the articles under root.
 
     Files go in by path. Articles are one version per run; its manifest names the ledger part of the same run, so a file
-    is in both or in neither. With on_corrupt="quarantine" a corrupt file is left out and stays to be taken later.
+    is in both or in neither. refetch is given the path of each corrupt file and replaces it, up to attempts readings in
+    all. A file that stays corrupt raises, or with on_corrupt="quarantine" is left out and stays to be taken later.
     """
     articles, ledger = Table(spark, f"{root}/articles"), Table(spark, f"{root}/ledger")
     wanted = listing(spark, sorted(paths))
     done = ledger.read() if ledger.exists() else None
     todo = new_files(wanted, done) if resume and done is not None else wanted
-    todo = sorted((r["path"], r["basename"], r["size_bytes"], r["mtime_ns"]) for r in todo.collect())
-    out = {"files": 0, "skipped": len(paths) - len(todo), "corrupt": 0, "upserts": 0, "deletes": 0}
+    todo = sorted(r["path"] for r in todo.collect())
+    out = {"files": 0, "skipped": len(paths) - len(todo), "corrupt": 0, "refetched": 0, "upserts": 0, "deletes": 0}
     if not todo:
         return out
-    feed = read_changes(spark, [t[0] for t in todo], delete_scope=delete_scope, on_corrupt=on_corrupt)
-    from corpusmill.session import checkpointed
-
-    feed = checkpointed(feed)
-    bad = {r["basename"] for r in feed.filter("problem is not null").select("basename").collect()}
-    taken = [t for t in todo if t[1] not in bad]
+    tolerant = on_corrupt == "quarantine" or refetch is not None
+    for attempt in range(1, max(1, attempts) + 1):
+        feed = checkpointed(read_changes(spark, todo, delete_scope=delete_scope, on_corrupt="quarantine" if tolerant else "fail"))
+        bad = {r["basename"]: r["problem"] for r in feed.filter("problem is not null").select("basename", "problem").collect()}
+        if not bad or refetch is None or attempt == attempts:
+            break
+        for path in [p for p in todo if Path(p).name in bad]:
+            refetch(path)
+            out["refetched"] += 1
+    if bad and on_corrupt != "quarantine":
+        raise OSError(f"corrupt: {bad}")
+    # sizes and times as they were read, after any replacement
+    taken = [(r["path"], r["basename"], r["size_bytes"], r["mtime_ns"]) for r in listing(spark, todo).collect() if r["basename"] not in bad]
     out |= {"files": len(taken), "corrupt": len(bad)}
     counts = feed.filter("problem is null").groupBy("op").count().collect()
     out |= {"upserts": sum(r["count"] for r in counts if r["op"] == "update"), "deletes": sum(r["count"] for r in counts if r["op"] == "delete")}

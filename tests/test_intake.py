@@ -47,7 +47,7 @@ def test_ingest(spark, tmp_path):
     two = write(a / "u25n2.xml.gz", article(2, "back"), "<DeleteCitation><PMID>3</PMID></DeleteCitation>")
     cut = a / "u25n3.xml.gz"
     cut.write_bytes(open(write(tmp_path / "whole.xml.gz", *[article(i) for i in range(50, 90)]), "rb").read()[:-40])
-    assert ingest(spark, root, [two, one, str(cut)], on_corrupt="quarantine") == {"files": 2, "skipped": 0, "corrupt": 1, "upserts": 5, "deletes": 2}
+    assert ingest(spark, root, [two, one, str(cut)], on_corrupt="quarantine") == {"files": 2, "skipped": 0, "corrupt": 1, "refetched": 0, "upserts": 5, "deletes": 2}
     state = lambda: {r.pmid: r.title for r in Table(spark, f"{root}/articles").read().collect()}
     assert state() == {1: "newer", 2: "back"}
     assert ingest(spark, root, [one, two])["skipped"] == 2
@@ -62,7 +62,13 @@ def test_ingest(spark, tmp_path):
     cut.write_bytes(b"\x1f\x8b broken")
     with pytest.raises(Exception):
         ingest(spark, root, [str(cut)])
-    assert state() == {1: "newer", 3: "T", 4: "T"}
+    asked = []
+    with pytest.raises(OSError):
+        ingest(spark, root, [str(cut)], refetch=asked.append, attempts=3)
+    assert len(asked) == 2 and state() == {1: "newer", 3: "T", 4: "T"}
+    done = ingest(spark, root, [str(cut)], refetch=lambda p: write(p, article(5)))
+    assert (done["files"], done["refetched"]) == (1, 1) and set(state()) == {1, 3, 4, 5}
+    assert ingest(spark, root, [str(cut)])["skipped"] == 1
 
 
 def test_store(spark, tmp_path):

@@ -130,7 +130,7 @@ def test_servers():
 
 
 def test_names(monkeypatch):
-    assert E.endpoint(["a", "b"], 3) == "b" and E.slug("Org/Model v1") == "org-model-v1" and E.model_name("BGE-large") == E.ALIASES["bge-large"]
+    assert E.endpoint(["a", "b"], 3) == "b" and E.slug("Org/Model v1") == "org-model-v1" and E.model_name(" BGE-large-en-v1.5") == "BAAI/bge-large-en-v1.5" and E.model_name("x/y") == "x/y"
     with pytest.raises(ValueError):
         E.provider_name("tei")
     monkeypatch.setenv("LOCAL_EMBED_BATCH_SIZE", "x")
