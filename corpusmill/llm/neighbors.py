@@ -212,7 +212,7 @@ def _in_leaf(table: pa.Table, k: int) -> pa.Table:
                 out_near.append(ids[near[i][real]])
                 out_score.append(-score[i][real])
     return pa.table(
-        {"id": pa.array(out_id, pa.int64()), "near": pa.array([x.tolist() for x in out_near], pa.list_(pa.int64())), "away": pa.array([x.tolist() for x in out_score], pa.list_(pa.float64()))}
+        {"id": pa.array(out_id, pa.int64()), "near": pa.array([x.tolist() for x in out_near], pa.list_(pa.int64())), "away": pa.array([x.tolist() for x in out_score], pa.list_(pa.float32()))}
     )
 
 
@@ -271,7 +271,7 @@ def nearest(
                     )
 
     placed = used.mapInArrow(assign, "leaf int, id bigint, visitor boolean, vector binary")
-    lists = placed.groupBy("leaf").applyInArrow(lambda t: _in_leaf(t, k), "id bigint, near array<bigint>, away array<double>")
+    lists = placed.groupBy("leaf").applyInArrow(lambda t: _in_leaf(t, k), "id bigint, near array<bigint>, away array<float>")
     # a vector has a list per visit, a bounded number
     merged = lists.groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("away", "near"))))), 1, k).alias("c"))
 
@@ -284,11 +284,11 @@ def nearest(
     listed = F.filter(F.collect_list(F.struct("away", "near")), lambda c: c["near"].isNotNull())
     others = wide.groupBy("id").agg(F.slice(F.array_sort(listed), 1, k).alias("c"))
     spread = others.join(hint(equal.select(F.col("rep").alias("id"), F.col("id").alias("copy"))), "id", "left").join(hint(firsts.withColumnRenamed("rep", "id")), "id", "left")
-    own = F.coalesce(F.transform("ids", lambda i: F.struct(F.lit(-1.0).alias("away"), i.alias("near"))), F.array().cast("array<struct<away:double,near:bigint>>"))
+    own = F.coalesce(F.transform("ids", lambda i: F.struct(F.lit(-1.0).cast("float").alias("away"), i.alias("near"))), F.array().cast("array<struct<away:float,near:bigint>>"))
     every = spread.select(F.coalesce("copy", "id").alias("id"), F.concat(own, "c").alias("c"))
     every = every.select("id", F.slice(F.array_sort(F.filter("c", lambda c: c["near"] != F.col("id"))), 1, k).alias("c"))
     out = every.select("id", F.posexplode("c").alias("n", "c"))
-    return out.select(F.col("id").alias(key), F.col("c.near").alias("near"), (F.col("n") + 1).alias("rank"), F.round(-F.col("c.away"), 6).alias("score"))
+    return out.select(F.col("id").alias(key), F.col("c.near").alias("near"), (F.col("n") + 1).alias("rank"), F.round(-F.col("c.away").cast("double"), 6).alias("score"))
 
 
 def pairs(neighbours: DataFrame, *, key: str = "pmid") -> DataFrame:
