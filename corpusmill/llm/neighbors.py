@@ -156,28 +156,31 @@ def _pack(x: np.ndarray) -> list[bytes]:
 
 def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    raw = np.array([np.frombuffer(b, np.uint8) for b in column.to_pylist()])
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
     return np.ascontiguousarray(raw[:, :4]).view("<f4")[:, 0].astype(np.float64), np.ascontiguousarray(raw[:, 4:]).view("<i2")
 
 
-def _best(queries: np.ndarray, data: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
-    """Positions in data of the k largest products of each query; own: a query's own position in data, or -1."""
+#: Columns of a block whose maximum is looked at first.
+_WIDTH = 64
+
+
+def _best(queries: np.ndarray, data: np.ndarray, n: int, own: np.ndarray, k: int) -> np.ndarray:
+    """Positions in data of the k largest products of each query (fewer if there are fewer).
+
+    data has n rows, filled up with zeros to a multiple of the width; own: a query's own position in data, or -1.
+    """
     s = queries @ data.T
-    rows = np.arange(len(queries))
+    s[:, n:] = -np.inf
     has = own >= 0
-    s[rows[has], own[has]] = -np.inf
-    n = s.shape[1]
-    width = 64
-    if n <= width * (k + 2):
+    s[np.flatnonzero(has), own[has]] = -np.inf
+    groups = s.shape[1] // _WIDTH
+    if groups <= k + 2:
         k = min(k, n)
-        return np.argpartition(s, n - k, axis=1)[:, n - k :]
+        return np.argpartition(s[:, :n], n - k, axis=1)[:, n - k :]
     # the k best lie within the k groups of columns that have the largest maxima
-    groups = -(-n // width)
-    padded = np.full((len(s), groups * width), -np.inf, np.float32)
-    padded[:, :n] = s
-    top = np.argpartition(padded.reshape(len(s), groups, width).max(2), groups - k, axis=1)[:, groups - k :]
-    columns = (top[:, :, None] * width + np.arange(width)).reshape(len(s), -1)
-    values = np.take_along_axis(padded, columns, axis=1)
+    top = np.argpartition(s.reshape(len(s), _WIDTH, groups).max(1), groups - k, axis=1)[:, groups - k :]
+    columns = (top[:, :, None] + groups * np.arange(_WIDTH)).reshape(len(s), -1)
+    values = np.take_along_axis(s, columns, axis=1)
     pick = np.argpartition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k :]
     return np.take_along_axis(columns, pick, axis=1)
 
@@ -193,26 +196,29 @@ def _in_leaf(table: pa.Table, k: int) -> pa.Table:
     ids, visitor, step, q = ids[order], visitor[order], step[order], q[order]
     x = (q * step[:, None]).astype(np.float32)
     data = np.flatnonzero(~visitor)
-    out_id, out_near, out_score = [], [], []
+    near, away, many = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)], [np.zeros(1, np.int32)]
     if len(data):
-        here, home = x[data], np.full(len(ids), -1)
+        here, home = np.zeros((-(-len(data) // _WIDTH) * _WIDTH, x.shape[1]), np.float32), np.full(len(ids), -1)
+        here[: len(data)] = x[data]
         home[data] = np.arange(len(data))
         for a in range(0, len(ids), 512):
             b = min(a + 512, len(ids))
-            near = data[_best(x[a:b], here, home[a:b], k + 2)]
+            at = data[_best(x[a:b], here, len(data), home[a:b], k + 2)]
             # exact: whole numbers below 2**53, and the product of two steps doesn't depend on their order
-            dots = np.einsum("ij,ikj->ik", q[a:b].astype(np.float64), q[near].astype(np.float64))
-            score = dots * (step[a:b, None] * step[near])
-            score[near == np.arange(a, b)[:, None]] = -np.inf
-            by = np.lexsort((ids[near], -score), axis=1)[:, :k]
-            score, near = np.take_along_axis(score, by, 1), np.take_along_axis(near, by, 1)
-            for i in range(b - a):
-                real = np.isfinite(score[i])  # a vector alone in its leaf gets an empty list
-                out_id.append(ids[a + i])
-                out_near.append(ids[near[i][real]])
-                out_score.append(-score[i][real])
+            dots = np.einsum("ij,ikj->ik", q[a:b].astype(np.float64), q[at].astype(np.float64))
+            score = dots * (step[a:b, None] * step[at])
+            score[at == np.arange(a, b)[:, None]] = -np.inf
+            by = np.lexsort((ids[at], -score), axis=1)[:, :k]
+            score, at = np.take_along_axis(score, by, 1), np.take_along_axis(at, by, 1)
+            real = np.isfinite(score)  # a vector alone in its leaf gets an empty list
+            near.append(ids[at[real]])
+            away.append(-score[real].astype(np.float32))
+            many.append(real.sum(1).astype(np.int32))
+    else:
+        ids = ids[:0]
+    cut = pa.array(np.cumsum(np.concatenate(many), dtype=np.int32))
     return pa.table(
-        {"id": pa.array(out_id, pa.int64()), "near": pa.array([x.tolist() for x in out_near], pa.list_(pa.int64())), "away": pa.array([x.tolist() for x in out_score], pa.list_(pa.float32()))}
+        {"id": pa.array(ids), "near": pa.ListArray.from_arrays(cut, pa.array(np.concatenate(near))), "away": pa.ListArray.from_arrays(cut, pa.array(np.concatenate(away)))}
     )
 
 
