@@ -44,13 +44,14 @@ class HashingEmbedder:
     name: str = "hashing"
 
     def __call__(self, texts: Sequence[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.dim))
-        for i, t in enumerate(texts):
-            words = re.findall(r"[^\W_]+", t.lower())
-            if words:
-                h = pd.util.hash_array(np.array(words, object), categorize=False)
-                np.add.at(out[i], (h % self.dim).astype(int), np.where((h >> np.uint64(32)) & np.uint64(1), 1.0, -1.0))
-        return out
+        words = [re.findall(r"[^\W_]+", t.lower()) for t in texts]
+        row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+        out = np.zeros(len(texts) * self.dim)
+        if len(row):
+            h = pd.util.hash_array(np.array([w for ws in words for w in ws], object), categorize=False)
+            at = row * self.dim + (h % np.uint64(self.dim)).astype(np.int64)
+            out += np.bincount(at, np.where((h >> np.uint64(32)) & np.uint64(1), 1.0, -1.0), len(out))
+        return out.reshape(len(texts), self.dim)
 
 
 def vectors_in(answer: object, expected: int) -> np.ndarray:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from corpusmill.embedding import Embedder
 from corpusmill.functions.text import preview
 from corpusmill.operators import ivf, knn
+from corpusmill.session import checkpointed
 from corpusmill.store import Table, VectorStore
 
 
@@ -79,8 +80,8 @@ def hits(spark: SparkSession, vectors: DataFrame, articles: DataFrame, query: Se
     """
     q = spark.createDataFrame([(0, [float(x) for x in query])], "qid int, embedding array<double>").withColumn("embedding", knn.normalized("embedding"))
     found = knn.top_k(vectors, q, k) if centroids is None else ivf.search(vectors, centroids, q, k, probes or ivf.Params().probes)
-    # k rows, however many vectors and articles there are
-    few = F.broadcast(found.drop("qid"))
+    # k rows, however many vectors and articles there are; written once, since two joins read them
+    few = F.broadcast(checkpointed(found.drop("qid")))
     known = articles.join(few.select("pmid"), "pmid", "left_semi")
     return knn.hydrated(few, known).select("rank", "pmid", "score", "title", preview("abstract", preview_chars).alias("abstract_preview"), "year", "journal").orderBy("rank")
 
