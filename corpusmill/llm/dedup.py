@@ -6,47 +6,42 @@ maximum, and the chance that two registers are equal is the Jaccard similarity o
 
 1. Rows with the very same texts become one class; only its least key goes on.
 2. Bands of registers are hashed; texts that share a bucket are candidates.
-3. Registers outside the bucket's own band travel with each row. Over all buckets that a pair shares, the counts of
-   greater, less and equal registers and the two sizes give the joint likelihood of the similarity; pairs whose best
-   estimate lies clearly below the threshold are dropped.
+3. The last bits of registers outside the bucket's own band travel with each row. A meeting counts if enough of them are
+   equal. Over all such buckets of a pair, the count of equal ones and the two sizes give the joint likelihood of the
+   similarity; pairs whose best estimate lies clearly below the threshold are dropped.
 4. What is left is verified by the exact bags, and classes are expanded.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import WS, strip
 from corpusmill.session import checkpointed
 
-BANDS, ROWS = 28, 8
+# Bags that share four fifths of the longer one have a Jaccard similarity of two thirds at least, wherever they differ:
+# sketches hold whole bags, so that this bound is theirs, too. A pair at the bound is missed with a chance of 0.015.
+BANDS, ROWS = 56, 6
 _REGISTERS = BANDS * ROWS
 #: Spacing of the ranks, and the largest rank.
 _BASE, _TOP = 1.1, 255
-#: Registers of the next band that travel with a row, one byte each, before two bytes of size.
-_EXTRA = 6
+#: Registers of the next bands that travel with a row, and the last bits kept of each; two bytes of size follow.
+_EXTRA, _BITS = 24, 2
 _BROADCAST_ROWS = 500_000
 _WORD = re.compile(r"[^\W_]+")
 _DOCS = 2000
 
 
-# Words so common that sharing them says nothing. They count in the verification but not in sketches, whose
-# chance meetings they would multiply.
-COMMON = (
-    "a an and are as at be been but by for from had has have if in into is it its may more most no not of on only or our "
-    "over such than that the their them these they this those to under was we were what when where which while who whose "
-    "with within without would"
-).split()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     with np.errstate(over="ignore"):
@@ -75,8 +70,6 @@ class Bags:
 
     def _forget(self) -> None:
         self.words: defaultdict[str, int] = defaultdict(count().__next__)
-        for w in COMMON:
-            self.words[w]  # the first numbers
         self.rows: dict[int, int] = {}
         self.hashes = np.zeros(0, np.uint64)
         self.values = np.zeros((0, _REGISTERS), np.uint8)
@@ -103,9 +96,6 @@ class Bags:
     def sketches(self, texts: list[list[str]]) -> np.ndarray:
         """Registers (texts x registers); no text may be empty."""
         doc, word, occurrence = self.elements(texts)
-        telling = word >= len(COMMON)
-        telling |= np.bincount(doc, telling, len(texts))[doc] == 0  # a text of nothing but common words keeps them
-        doc, word, occurrence = doc[telling], word[telling], occurrence[telling]
         code = word * 4096 + np.minimum(occurrence, 4095)
         different, back = np.unique(code, return_inverse=True)
         rows = self.rows
@@ -138,7 +128,7 @@ def _texts(batch: pd.DataFrame) -> list[list[str]]:
 
 
 def _bands(min_words: int):
-    """bucket, id and extra of every band: extra has six registers of the next band and the size of the text."""
+    """bucket, id and extra of every band: extra has the last bits of registers of the next bands and the size of the text."""
     powers = np.array([pow(0x100000001B3, i, 2**64) for i in range(ROWS)], np.uint64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,12 +144,11 @@ def _bands(min_words: int):
                 texts = [texts[i] for i in real]
                 s = bags.sketches(texts).reshape(len(texts), BANDS, ROWS)
                 with np.errstate(over="ignore"):
-                    bucket = _mix((s.astype(np.uint64) * powers).sum(2, dtype=np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64))
+                    bucket = _mix((s.astype(np.uint64) * powers).sum(2, dtype=np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64)) >> np.uint64(24)
                 sizes = np.minimum([len(t) for t in texts], 0x7FFF).astype(np.int64)
-                extra = np.repeat(sizes[:, None] << (8 * _EXTRA), BANDS, axis=1)
-                following = np.roll(s, -1, axis=1)
+                extra = np.repeat(sizes[:, None] << (_BITS * _EXTRA), BANDS, axis=1)
                 for i in range(_EXTRA):
-                    extra |= following[:, :, i].astype(np.int64) << (8 * i)
+                    extra |= (np.roll(s[:, :, i % ROWS], -1 - i // ROWS, axis=1).astype(np.int64) & (2**_BITS - 1)) << (_BITS * i)
                 yield pd.DataFrame({"bucket": bucket.view(np.int64).ravel(), "id": np.repeat(part["id"].to_numpy()[real], BANDS), "extra": extra.ravel()})
 
     return run
@@ -180,39 +169,52 @@ def _bag_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"id": part["id"], "bag": [raw[cut[i] : cut[i + 1]].tobytes() for i in range(len(texts))]})
 
 
-def likeliest(less: np.ndarray, equal: np.ndarray, more: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """The Jaccard similarity under which these register comparisons of two bags of known sizes are most likely."""
+def likeliest(less: np.ndarray, equal: np.ndarray, more: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """The Jaccard similarity under which these register comparisons of two bags of known sizes are most likely.
+
+    bits: only so many last bits were compared; less and more together are the unequal ones.
+    """
     grid = np.linspace(0, 1, 65)
     u, v = (n_a / (n_a + n_b))[:, None], (n_b / (n_a + n_b))[:, None]
     chance = lambda x: -np.log1p(-np.clip(x, 0, 1) * (_BASE - 1) / _BASE) / np.log(_BASE)
     j = np.minimum(grid, np.minimum(u / v, v / u))
     p_more, p_less = chance(u - v * j), chance(v - u * j)
     tiny = 1e-6
-    fit = more[:, None] * np.log(p_more + tiny) + less[:, None] * np.log(p_less + tiny) + equal[:, None] * np.log(np.maximum(1 - p_more - p_less, tiny))
+    p_equal = np.maximum(1 - p_more - p_less, tiny)
+    if bits is None:
+        fit = more[:, None] * np.log(p_more + tiny) + less[:, None] * np.log(p_less + tiny) + equal[:, None] * np.log(p_equal)
+    else:
+        p_same = p_equal + (1 - p_equal) / 2**bits
+        fit = (more + less)[:, None] * np.log(1 - p_same + tiny) + equal[:, None] * np.log(p_same)
     return np.take_along_axis(j, fit.argmax(1)[:, None], 1)[:, 0]
 
 
 def _candidates(bands: DataFrame, share: float) -> DataFrame:
     """a < b of the pairs that share buckets and whose likeliest similarity may reach the share of the longer one."""
-    byte = lambda c, i: F.shiftright(F.col(c), 8 * i).bitwiseAND(F.lit(255))
     a = bands.select("bucket", F.col("id").alias("a"), F.col("extra").alias("ea"))
     b = bands.select("bucket", F.col("id").alias("b"), F.col("extra").alias("eb"))
-    registers = lambda f: sum((f(byte("ea", i), byte("eb", i)).cast("int") for i in range(1, _EXTRA)), f(byte("ea", 0), byte("eb", 0)).cast("int"))
+    size = lambda c: F.shiftright(c, _BITS * _EXTRA)
+    longer = F.greatest("na", "nb")
+    differ = F.col("ea").bitwiseXOR(F.col("eb"))
+    differ = reduce(Column.bitwiseOR, [F.shiftright(differ, i) for i in range(1, _BITS)], differ)
+    lowest = F.lit(sum(1 << (_BITS * i) for i in range(_EXTRA)))
     met = a.join(b, "bucket").filter(F.col("a") < F.col("b"))
-    met = met.select("a", "b", registers(lambda x, y: x < y).alias("less"), registers(lambda x, y: x == y).alias("equal"), F.shiftright("ea", 8 * _EXTRA).alias("na"), F.shiftright("eb", 8 * _EXTRA).alias("nb"))
-    seen = met.groupBy("a", "b").agg(F.sum("less").alias("less"), F.sum("equal").alias("equal"), F.count("*").alias("bands"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    met = met.select("a", "b", (F.lit(_EXTRA) - F.bit_count(differ.bitwiseAND(lowest))).alias("equal"), size("ea").alias("na"), size("eb").alias("nb"))
+    # chance meetings end here, before anything is shuffled: half a standard error below what the least similarity leads to
+    least = share / (2 - share)
+    same = least + (1 - least) / 2**_BITS
+    met = met.filter((F.col("equal") >= math.ceil(_EXTRA * same - math.sqrt(_EXTRA * same * (1 - same)) / 2)) & (F.least("na", "nb") >= share * longer))
+    seen = met.groupBy("a", "b").agg(F.sum("equal").alias("equal"), F.count("*").alias("bands"), F.first("na").alias("na"), F.first("nb").alias("nb"))
 
     @F.pandas_udf("double")
-    def similarity(less: pd.Series, equal: pd.Series, bands: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
-        less, equal, n = less.to_numpy(float), equal.to_numpy(float), bands.to_numpy(float) * _EXTRA
-        return pd.Series(likeliest(less, equal, n - less - equal, na.to_numpy(float), nb.to_numpy(float)))
-
-    longer, both = F.greatest("na", "nb"), F.col("na") + F.col("nb")
-    needed = share * longer / (both - share * longer)
-    # three standard errors of an estimate from so many registers
-    slack = 3 * F.sqrt(needed * (1 - needed) / (F.col("bands") * _EXTRA))
-    fits = F.least("na", "nb") >= share * longer
-    return seen.filter(fits).filter(similarity("less", "equal", "bands", "na", "nb") >= needed - slack).select("a", "b")
+    def similarity(equal: pd.Series, bands: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
+        equal, n = equal.to_numpy(float), bands.to_numpy(float) * _EXTRA
+        return pd.Series(likeliest(n - equal, equal, np.zeros(len(n)), na.to_numpy(float), nb.to_numpy(float), _BITS))
+
+    needed = share * longer / (F.col("na") + F.col("nb") - share * longer)
+    # three standard errors of an estimate from so many registers, of which neighbouring bands may share some
+    slack = 3 * F.sqrt(needed * (1 - needed) / _EXTRA) * 2**_BITS / (2**_BITS - 1)
+    return seen.filter(similarity("equal", "bands", "na", "nb") >= needed - slack).select("a", "b")
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, share: float) -> DataFrame:

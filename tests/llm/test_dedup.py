@@ -42,6 +42,25 @@ def test_against_all_pairs(spark):
     assert got <= want and len(got) >= 0.98 * len(want) > 30
 
 
+def test_pairs_that_barely_reach_the_share(spark):
+    rng = random.Random(7)
+    content, common = [f"w{i}" for i in range(20_000)], "the of and in to with was for a is".split()
+    rows, want = [], set()
+    for i in range(300):
+        n = rng.randint(70, 130)
+        body = rng.choices(common, k=round(0.28 * n)) + rng.sample(content, n - round(0.28 * n))
+        copy, kept = body[:], rng.choice([0.80, 0.80, 0.82, 0.85])
+        # only words that tell something are replaced
+        for j in rng.sample(range(round(0.28 * n), n), int((1 - kept) * n)):
+            copy[j] = f"new{i}x{j}"
+        rng.shuffle(copy)
+        rows += [(2 * i, None, " ".join(body)), (2 * i + 1, None, " ".join(copy))]
+        assert overlap(rows[-2], rows[-1]) >= 0.8
+        want.add((2 * i, 2 * i + 1))
+    got = {tuple(r) for r in dedup.expanded(*dedup.similar_representatives(table(spark, rows))).collect()}
+    assert got <= want and len(got) >= 0.98 * len(want)
+
+
 def test_odd_rows_and_classes(spark):
     text = " ".join(f"word{i}" for i in range(50))
     rows = [(i, "same", text) for i in range(1, 6)] + [(6, "SAME", text.upper() + "."), (7, None, text), (8, "same", None), (9, None, None), (10, "t", ""), (11, "t", "word1 " * 39), (12, "t", "word1 " * 39), (None, "same", text), (13, "l", "deep " * 60_000), (14, "l", "deep " * 60_000 + "x"), (3, "same", text), (15, "c", "中" * 500), (16, "c", ". , ! " * 20)]
