@@ -34,7 +34,7 @@ class Limits:
 
     rare: share of a column's values below which a mask is rare. few_words: values with at most so many different words
     can be violations. spread: robust standard deviations of a load from the others. The rest are the least departures that
-    matter: of a rate, of the chance that two values are equal and the share of the top value, of the mean logarithm of
+    matter: of a rate, of the share of different values, the chance that two are equal and the share of the top value, of the mean logarithm of
     lengths, of the divergence of masks, and of the mean of numbers.
     """
 
@@ -133,7 +133,7 @@ def _by_form(values: DataFrame) -> DataFrame:
 
 
 def load_profile(counts: DataFrame, field: str) -> DataFrame:
-    """field, load, n and the measures of each load: null_rate, repeats, top_share, center, divergence.
+    """field, load, n and the measures of each load: null_rate, distinct_share, repeats, top_share, center, divergence.
 
     divergence is the Jensen-Shannon divergence (in bits) of the load's masks from those of the whole column.
     """
@@ -150,7 +150,7 @@ def load_profile(counts: DataFrame, field: str) -> DataFrame:
     n = F.col("n").cast("double")
     return per.join(js, "load", "left").select(
         F.lit(field).alias("field"), "load", "rows", "n", "different", (F.col("nulls") / F.col("rows")).alias("null_rate"),
-        F.when(n > 1, F.col("same") / (n * (n - 1))).alias("repeats"), F.when(n > 0, F.col("most") / n).alias("top_share"), F.when(n > 0, F.col("sum_x") / n).alias("center"), "divergence",
+        F.when(n > 0, F.col("different") / n).alias("distinct_share"), F.when(n > 1, F.col("same") / (n * (n - 1))).alias("repeats"), F.when(n > 0, F.col("most") / n).alias("top_share"), F.when(n > 0, F.col("sum_x") / n).alias("center"), "divergence",
     )
 
 

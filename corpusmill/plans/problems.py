@@ -62,7 +62,9 @@ def p4_departures(spark: SparkSession, d: str) -> DataFrame:
     shared = {"null_rate": x.rate, "repeats": x.distinct, "top_share": x.distinct, "divergence": x.divergence}
     out = None
     for field, profile in _load_profiles(table(spark, d, "articles")).items():
-        found = quality.departures(profile, shared | {"center": x.position if field == "year" else x.length}, x)
+        # years are few, so the share of different ones only tells how large a load is
+        own = {"center": x.position} if field == "year" else {"center": x.length, "distinct_share": x.distinct}
+        found = quality.departures(profile, shared | own, x)
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from corpusmill.operators import quality
+from corpusmill.plans import problems
 
 TITLE = "Effect of drug {} on the outcome of patients with rare disease in town {}"
 
@@ -52,6 +53,14 @@ def test_loads(spark):
     assert ("load6", "center") in departing(spark, early, "year")
 
 
+def test_load_of_evenly_repeated_values(spark, tmp_path):
+    rows = [(TITLE.format(f"name{i // 8 % 30}", "place") if b == "load5" else t, y, b) for i, (t, y, b) in enumerate(base(5200)) for b in [f"load{i % 8}"]]
+    df = spark.createDataFrame([(i, t, t, y, b) for i, (t, y, b) in enumerate(rows)], "pmid bigint, title string, abstract string, year int, basename string")
+    df.write.parquet(str(tmp_path / "articles.parquet"))
+    got = {(r.field, r.load, r.measure) for r in problems.p4_departures(spark, str(tmp_path)).collect()}
+    assert ("title", "load5", "distinct_share") in got and {x[1] for x in got} == {"load5"}
+
+
 def test_nothing_there(spark):
     df = table(spark, [])
     assert quality.text_violations(df, "title", key="pmid", load="basename").count() == 0
