@@ -27,6 +27,18 @@ MARKUP = r"<\s*/?\s*[A-Za-z][^<>]*>|&(?:amp;)*#?[A-Za-z0-9]+;|\\[nrt\"'/]|\\u[0-
 #: Stand-ins that are longer than the few words that any value needs.
 STAND_IN = r"(?i)^[\W_]*(?:(?:this |the )?(?:article|record|paper|entry|item|study)? ?(?:has |have |with |is |was )?(?:no|not|without)(?: an?)? (?:abstract|title|text|data|summary|content|available|applicable|provided|given|known|supplied|recorded)\b.{0,40}|(?:abstract|title|text|summary)(?: is| was)? (?:not|un|missing|withheld|removed|pending|unavailable|available|to follow).{0,40}|see (?:the )?(?:full )?(?:text|article|paper|pdf).{0,20}|(?:lorem ipsum|to be (?:added|announced|determined)).{0,60})[\W_]*$"
 
+#: Forms that are no text however frequent they are: no letter, an address, an identifier, a date, a stand-in.
+_MONTH = r"(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
+CLOSED = (
+    r"(?i)^(?:[^\p{L}]*|(?:https?://|ftp://|www\.)\S+|(?:mailto:)?\S+@\S+\.\w+"
+    r"|(?:doi:?\s*)?10\.\d{4,}\S*/\S+|(?:doi|pmid|pmcid|pmc|issn|isbn|nct|id)[:#\s-]*[a-z]{0,3}\d[\dx-]*|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+    rf"|(?:{_MONTH}[ .,-]*)?\d{{1,4}}(?:st|nd|rd|th)?[ .,-]*(?:{_MONTH})?[ .,-]*\d{{0,4}}|{_MONTH}[ .,-]+\d{{1,4}}[ .,-]*\d{{0,4}}|\d{{4}}-\d\d-\d\dt[\d:.]+(?:z|[+-][\d:]+)?"
+    r"|[\W_]*(?:(?:n[/.]?a\.?|unknown|null|nil|none|nan|undefined|untitled|unavailable|missing|blank|empty|tb[acd]|todo|asdf\w{0,8}|qwert\w{0,8}|title|abstract|text|test|sample|dummy|placeholder|not[ _](?:applicable|available|provided|known))[\W_]*){1,4})$"
+)
+#: One unit, three times or more; the second form is for the beginning of a long value.
+REPEATED = r"(?i)^\W*(.{1,12}?)(?:[\s_.,;-]*\1){2,}\W*$", r"(?i)^\W*(.{1,12}?)(?:[\s_.,;-]*\1){2,}.{0,12}$"
+_BEGINNING = 240
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -72,16 +84,23 @@ def coarse_mask(c: Column, words: Column) -> Column:
     )
 
 
+def closed_form(c: Column, words: Column, limits: Limits = Limits()) -> Column:
+    """Whether a value of few different words has a form that is no text."""
+    repeated = F.when(F.length(c) > _BEGINNING, F.substring(c, 1, _BEGINNING).rlike(REPEATED[1])).otherwise(c.rlike(REPEATED[0]))
+    return F.when(words <= limits.few_words, c.rlike(CLOSED) | repeated).otherwise(False)
+
+
 def text_violations(df: DataFrame, field: str, *, key: str, load: str, markup: bool = False, limits: Limits = Limits()) -> DataFrame:
     """field, load, key of the non-null values that aren't texts: blank, stand-ins, or no text at all.
 
-    A value is one if it is blank, reads as a stand-in, or has few different words under a mask that is rare in its column.
-    markup adds values with markup or escape codes. Nulls are no violations; an empty table has none.
+    A value is one if it is blank, reads as a stand-in, or has few different words and a closed form (a number, identifier,
+    address, date, one repeated unit) or a mask that is rare in its column. markup adds values with markup or escape codes. Nulls are no violations; an empty table has none.
     """
     v = F.col("value")
     rows = df.filter(F.col(field).isNotNull()).select(F.col(key).alias("key"), F.col(load).alias("load"), F.col(field).alias("value"))
     plain = is_blank(v) | v.rlike(STAND_IN) | (v.rlike(MARKUP) if markup else F.lit(False))
     few = rows.withColumn("words", distinct_words(v)).filter((F.col("words") <= limits.few_words) | plain)
+    plain = plain | closed_form(v, F.col("words"), limits)
     # the few suspects are written once: their masks are counted, then looked up
     few = checkpointed(few.select("key", "load", plain.alias("plain"), F.when(F.col("words") <= limits.few_words, F.concat_ws("|", "words", fine_mask(v))).alias("mask")))
     total = df.agg(F.count(F.col(field)).alias("all"))

@@ -26,6 +26,14 @@ def test_dominant_short_values_are_fine(spark):
     assert [r.key for r in quality.text_violations(df, "title", key="pmid", load="basename").collect()] == [99]
 
 
+def test_frequent_values_that_are_no_texts(spark):
+    closed = ["N/A", "n/a", "unknown", "null", "None", "Untitled", "tba", "-", "???", "###", "asdf", "12345", "https://example.org/a/1", "2001-03-04", "4 March 2001", "March 2001", "10.1000/j.12.3", "xxxxxxxx", "test test test", "sample " * 300, "PMC12345"]
+    short = ["Malaria", "Marching on", "Aprotinin", "Nullomers", "Test anxiety in school", "Tuberculosis in 1999", "Vitamin B12"]
+    rows = [(t, 2000, "a") for t in closed + short for _ in range(30)]
+    got = {r.key // 30 for r in quality.text_violations(table(spark, rows), "title", key="pmid", load="basename").collect()}
+    assert got == set(range(len(closed)))
+
+
 def test_years(spark):
     df = table(spark, [("t", y, "a") for y in (None, 1799, 1800, 2027, 2028, -1, 20203)])
     assert {r.key for r in quality.range_violations(df, "year", 1800, 2027, key="pmid", load="basename").collect()} == {1, 4, 5, 6}
