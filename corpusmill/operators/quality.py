@@ -90,23 +90,45 @@ def closed_form(c: Column, words: Column, limits: Limits = Limits()) -> Column:
     return F.when(words <= limits.few_words, c.rlike(CLOSED) | repeated).otherwise(False)
 
 
-def text_violations(df: DataFrame, field: str, *, key: str, load: str, markup: bool = False, limits: Limits = Limits()) -> DataFrame:
-    """field, load, key of the non-null values that aren't texts: blank, stand-ins, or no text at all.
+def _plain(v: Column, markup: bool) -> Column:
+    return is_blank(v) | v.rlike(STAND_IN) | (v.rlike(MARKUP) if markup else F.lit(False))
 
-    A value is one if it is blank, reads as a stand-in, or has few different words and a closed form (a number, identifier,
-    address, date, one repeated unit) or a mask that is rare in its column. markup adds values with markup or escape codes. Nulls are no violations; an empty table has none.
-    """
+
+def _short_mask(v: Column, words: Column, limits: Limits) -> Column:
+    return F.when(words <= limits.few_words, F.concat_ws("|", words, fine_mask(v)))
+
+
+def suspects(df: DataFrame, field: str, *, key: str, load: str, markup: bool = False, limits: Limits = Limits()) -> DataFrame:
+    """load, key, plain and mask of the non-null values that are or may be violations, written once."""
     v = F.col("value")
     rows = df.filter(F.col(field).isNotNull()).select(F.col(key).alias("key"), F.col(load).alias("load"), F.col(field).alias("value"))
-    plain = is_blank(v) | v.rlike(STAND_IN) | (v.rlike(MARKUP) if markup else F.lit(False))
+    plain = _plain(v, markup)
     few = rows.withColumn("words", distinct_words(v)).filter((F.col("words") <= limits.few_words) | plain)
-    plain = plain | closed_form(v, F.col("words"), limits)
-    # the few suspects are written once: their masks are counted, then looked up
-    few = checkpointed(few.select("key", "load", plain.alias("plain"), F.when(F.col("words") <= limits.few_words, F.concat_ws("|", "words", fine_mask(v))).alias("mask")))
-    total = df.agg(F.count(F.col(field)).alias("all"))
-    shares = few.filter(F.col("mask").isNotNull()).groupBy("mask").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total))
-    rare = shares.filter(F.col("n") < limits.rare * F.col("all")).select("mask", F.lit(True).alias("rare"))
-    judged = few.join(rare, "mask", "left").filter(F.col("plain") | F.coalesce(F.col("rare"), F.lit(False)))
+    return checkpointed(few.select("key", "load", (plain | closed_form(v, F.col("words"), limits)).alias("plain"), _short_mask(v, F.col("words"), limits).alias("mask")))
+
+
+def usual_short(df: DataFrame, field: str, few: DataFrame, *, load: str, limits: Limits = Limits()) -> tuple[list[str], DataFrame]:
+    """The masks of short values that aren't rare in the column, at most 1 / rare of them; and load of the loads that are
+    short as such: more of their values than a load's rate may depart by are short, without a closed form."""
+    counts = checkpointed(df.groupBy(F.col(load).alias("load")).agg(F.count(F.col(field)).alias("of")))
+    total = counts.agg(F.coalesce(F.sum("of"), F.lit(0))).first()[0]
+    masks = [r[0] for r in few.filter(F.col("mask").isNotNull()).groupBy("mask").agg(F.count("*").alias("n")).filter(F.col("n") >= limits.rare * total).select("mask").collect()]
+    short = few.filter(~F.col("plain")).groupBy("load").agg(F.count("*").alias("n")).join(counts, "load")
+    return masks, checkpointed(short.filter(F.col("n") > limits.rate * (F.col("of") + 6 * F.sqrt("of"))).select("load", F.lit(True).alias("short_load")))
+
+
+def text_violations(df: DataFrame, field: str, *, key: str, load: str, markup: bool = False, limits: Limits = Limits(), few: DataFrame | None = None, usual: tuple[list[str], DataFrame] | None = None) -> DataFrame:
+    """field, load, key of the non-null values that aren't texts: blank, stand-ins, or no text at all.
+
+    A value is one if it is blank, reads as a stand-in, or has few different words and a closed form (a number, identifier,
+    address, date, one repeated unit) or a mask that is rare in its column, unless short values are the form of its load.
+    markup adds values with markup or escape codes. Nulls are no violations; an empty table has none. few and usual:
+    the suspects and what is usual among them, if they are known.
+    """
+    few = suspects(df, field, key=key, load=load, markup=markup, limits=limits) if few is None else few
+    masks, loads = usual or usual_short(df, field, few, load=load, limits=limits)
+    rare = ~F.col("mask").isin(masks) & F.col("short_load").isNull()
+    judged = few.join(F.broadcast(loads), "load", "left").filter(F.col("plain") | F.coalesce(rare, F.lit(False)))
     return judged.select(F.lit(field).alias("field"), "load", "key")
 
 
@@ -115,15 +137,17 @@ def range_violations(df: DataFrame, field: str, low: int, high: int, *, key: str
     return df.filter((F.col(field) < low) | (F.col(field) > high)).select(F.lit(field).alias("field"), F.col(load).alias("load"), F.col(key).alias("key"))
 
 
-def text_counts(df: DataFrame, field: str, *, load: str, markup: bool = False, limits: Limits = Limits()) -> DataFrame:
+def text_counts(df: DataFrame, field: str, *, load: str, markup: bool = False, limits: Limits = Limits(), usual: tuple[list[str], DataFrame] | None = None) -> DataFrame:
     """load, form, n, nulls, same, most, log_length: counts of a text column by load and coarse mask.
 
-    same sums n(n-1) over equal values, most is the count of the most frequent one. Values that are or may be violations
-    only count in nulls' total (used = 0 there).
+    same sums n(n-1) over equal values, most is the count of the most frequent one. Violations only count in nulls' total
+    (used = 0 there). usual: what is usual among short values, if it is known.
     """
     v = F.col("value")
-    rows = df.select(F.col(load).alias("load"), F.col(field).alias("value")).withColumn("words", distinct_words(v))
-    used = v.isNotNull() & (F.col("words") > limits.few_words) & ~v.rlike(STAND_IN) & (~v.rlike(MARKUP) if markup else F.lit(True))
+    masks, loads = usual or usual_short(df, field, suspects(df, field, key=load, load=load, markup=markup, limits=limits), load=load, limits=limits)
+    rows = df.select(F.col(load).alias("load"), F.col(field).alias("value")).withColumn("words", distinct_words(v)).join(F.broadcast(loads), "load", "left")
+    short = (F.col("short_load").isNotNull() | _short_mask(v, F.col("words"), limits).isin(masks)) & ~closed_form(v, F.col("words"), limits)
+    used = v.isNotNull() & F.when(F.col("words") > limits.few_words, True).otherwise(short) & ~_plain(v, markup)
     rows = rows.withColumn("used", F.coalesce(used, F.lit(False)))
     values = rows.groupBy("load", F.when(F.col("used"), F.xxhash64("value")).alias("id")).agg(
         F.count("*").alias("rows"), F.count_if(F.col("used")).alias("n"), F.count_if(v.isNull()).alias("nulls"),

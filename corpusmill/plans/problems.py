@@ -41,27 +41,40 @@ def p2_patched(spark: SparkSession, d: str) -> DataFrame:
 YEARS = (1800, 2027)
 
 
-def _load_profiles(articles: DataFrame) -> dict[str, DataFrame]:
-    counts = {
-        "title": quality.text_counts(articles, "title", load="basename", markup=True),
-        "abstract": quality.text_counts(articles, "abstract", load="basename"),
-        "year": quality.number_counts(articles, "year", *YEARS, load="basename"),
-    }
+#: Text columns, and whether markup is a violation there.
+TEXTS = {"title": True, "abstract": False}
+
+
+def _short_values(articles: DataFrame) -> dict[str, tuple]:
+    """By text column its suspects, and what is usual among them."""
+    few = {f: quality.suspects(articles, f, key="pmid", load="basename", markup=m) for f, m in TEXTS.items()}
+    return {f: (x, quality.usual_short(articles, f, x, load="basename")) for f, x in few.items()}
+
+
+def _load_profiles(articles: DataFrame, short: dict[str, tuple]) -> dict[str, DataFrame]:
+    counts = {f: quality.text_counts(articles, f, load="basename", markup=m, usual=short[f][1]) for f, m in TEXTS.items()}
+    counts["year"] = quality.number_counts(articles, "year", *YEARS, load="basename")
     return {f: quality.load_profile(checkpointed(c), f) for f, c in counts.items()}
 
 
 def p4_profile(spark: SparkSession, d: str) -> DataFrame:
     """The measures of every load and field, long."""
-    profiles = list(_load_profiles(table(spark, d, "articles")).values())
+    articles = table(spark, d, "articles")
+    profiles = list(_load_profiles(articles, _short_values(articles)).values())
     return profiles[0].unionByName(profiles[1]).unionByName(profiles[2])
 
 
 def p4_departures(spark: SparkSession, d: str) -> DataFrame:
     """Which loads depart from the others, in which measure, with the usual value beside it."""
+    articles = table(spark, d, "articles")
+    return _departures(articles, _short_values(articles))
+
+
+def _departures(articles: DataFrame, short: dict[str, tuple]) -> DataFrame:
     x = quality.Limits()
     shared = {"null_rate": x.rate, "repeats": x.distinct, "top_share": x.distinct, "divergence": x.divergence}
     out = None
-    for field, profile in _load_profiles(table(spark, d, "articles")).items():
+    for field, profile in _load_profiles(articles, short).items():
         # years are few, so the share of different ones only tells how large a load is
         own = {"center": x.position} if field == "year" else {"center": x.length, "distinct_share": x.distinct}
         found = quality.departures(profile, shared | own, x)
@@ -72,9 +85,10 @@ def p4_departures(spark: SparkSession, d: str) -> DataFrame:
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     articles = table(spark, d, "articles")
     at = {"key": "pmid", "load": "basename"}
-    values = quality.text_violations(articles, "title", markup=True, **at).unionByName(quality.text_violations(articles, "abstract", **at))
-    values = values.unionByName(quality.range_violations(articles, "year", *YEARS, **at))
-    loads = p4_departures(spark, d).select("field", "load", F.lit(0).cast("bigint").alias("key"))
+    short = _short_values(articles)
+    title, abstract = (quality.text_violations(articles, f, markup=m, few=short[f][0], usual=short[f][1], **at) for f, m in TEXTS.items())
+    values = title.unionByName(abstract).unionByName(quality.range_violations(articles, "year", *YEARS, **at))
+    loads = _departures(articles, short).select("field", "load", F.lit(0).cast("bigint").alias("key"))
     return values.unionByName(loads).select("field", F.col("load").alias("basename"), F.col("key").alias("pmid")).distinct()
 
 

@@ -69,6 +69,19 @@ def test_load_of_evenly_repeated_values(spark, tmp_path):
     assert ("title", "load5", "distinct_share") in got and {x[1] for x in got} == {"load5"}
 
 
+def test_load_of_short_values(spark):
+    rows = [(" ".join(t.split()[:3]) + f" x{i}y" if b == "load2" else t, y, b) for i, (t, y, b) in enumerate(base(800))]
+    rows += [("Aspirin", 2000, "load1"), ("unknown", 2000, "load2")]
+    df = table(spark, rows)
+    got = {r.key for r in quality.text_violations(df, "title", key="pmid", load="basename").collect()}
+    assert got == {800, 801}
+    n = {r.load: r.n for r in quality.load_profile(quality.text_counts(df, "title", load="basename"), "title").collect()}
+    assert set(n.values()) == {100}
+    assert ("load2", "center") in departing(spark, rows, "title")
+    one = [("Short title" if b == "load2" else t, y, b) for t, y, b in base(800)]
+    assert {("load2", "center"), ("load2", "repeats")} <= departing(spark, one, "title")
+
+
 def test_nothing_there(spark):
     df = table(spark, [])
     assert quality.text_violations(df, "title", key="pmid", load="basename").count() == 0
