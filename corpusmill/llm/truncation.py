@@ -23,16 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import WS_CHARS, rstrip
-from corpusmill.operators.quality import STAND_IN, Limits, distinct_words
+from corpusmill.operators.quality import STAND_IN, Limits, closed_form, distinct_words
 from corpusmill.session import checkpointed
 
 # Stops, closing signs that may follow them, and marks of cutting.
 STOPS = (".", "!", "?", "。", "！", "？")
 CLOSERS = """"'»”’)]""" + WS_CHARS
-_CLOSERS = r"""["'»”’)\]\s\p{Z}]*$"""
 MARK = (
     r"(?i)(?:\.{3,}|…|[\[(<{](?:\s*\.{2,}\s*|\s*…\s*|(?:read |see )?more|[^\[\](){}<>]{0,40}\b(?:truncat\w*|cut|cont(?:\.|inued|d)?|abridged|shortened|incomplete)(?![\w-])[^\[\](){}<>]{0,40})[\])>}])"
-    + _CLOSERS
+    + r"""["'»”’)\]\s\p{Z}.!?。]*$"""
 )
 
 #: Words above this share of all tokens are told apart in contexts; there are at most 1 / share of them.
@@ -43,6 +42,8 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 # Abbreviations whose stop ends no sentence.
 _SHORT = r"(?:no|nos|vs|cf|al|fig|figs|eq|ref|refs|vol|pp|dr|st|approx|ca|e\.g|i\.e)"
 _NO_END = re.compile(rf"^\W*{_SHORT}\.$", re.I)
+#: Ends of a text whose stop ends no sentence: after an open bracket, or after an abbreviation that is followed by something.
+_OPEN_STOP = r"[(\[][^()\[\]]{0,400}[.!?]$|(?i)(?:^|[\s(\[])(?:vs|cf|figs?|eq|refs?|vol|pp|approx|ca|e\.g|i\.e)\.$"
 _END = re.compile(r"""[.!?]["'»”’)\]]*$""")
 
 
@@ -150,9 +151,9 @@ def _finals(common: frozenset[str]):
                 masks = ["^", "^", "^", *(mask(t)[0] for t in sentence)][-4:]
                 tail = " ".join(sentence)
                 last = sentence[-1] if sentence else ""
-                dangling = last[-1:] in tuple(",;:(=<>-–—/+±&") or tail.count("(") > tail.count(")") or tail.count("[") > tail.count("]")
-                out.append((key, at_limit, " ".join(masks), _EDGE.sub("", last).lower(), masks[-1], dangling))
-            yield pd.DataFrame(out, columns=["id", "at_limit", "context", "last", "mask", "dangling"])
+                dangling = bool(_NO_END.match(last)) and text.endswith(STOPS) or last[-1:] in tuple(",;:(=<>-–—/+±&") or tail.count("(") > tail.count(")") or tail.count("[") > tail.count("]")
+                out.append((key, at_limit, " ".join(masks), _EDGE.sub("", last).lower(), masks[-1], dangling, text.rstrip(CLOSERS).endswith(STOPS)))
+            yield pd.DataFrame(out, columns=["id", "at_limit", "context", "last", "mask", "dangling", "stopped"])
 
     return run
 
@@ -180,8 +181,12 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     texts = df.select(F.col(key).alias("id"), rstrip(text).alias("text")).filter(v.isNotNull() & (v != "") & ~v.rlike(STAND_IN))
     stem = F.rtrim(v, F.lit(CLOSERS))
     dots = stem.endswith("...") | stem.endswith("…")
-    open_end = texts.filter(dots | ~F.right(stem, F.lit(1)).isin(*STOPS)).filter(distinct_words(v) > Limits().few_words)
-    open_end = checkpointed(open_end.select("id", "text", (dots | v.rlike(MARK)).alias("mark"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("same")))
+    open_end = texts.filter(dots | ~F.right(stem, F.lit(1)).isin(*STOPS) | v.rlike(MARK) | v.rlike(_OPEN_STOP))
+    # values of few words count if they carry a mark and aren't p4's
+    words_of = distinct_words(v)
+    marked = dots | v.rlike(MARK)
+    open_end = open_end.filter((words_of > Limits().few_words) | (marked & ~closed_form(v, words_of)))
+    open_end = checkpointed(open_end.select("id", "text", marked.alias("mark"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("same")))
     kind = dict(open_end.dtypes)["id"]
 
     words = checkpointed(vocabulary(texts.select("text")))
@@ -199,7 +204,7 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     three_of, two_of = _shorter(F.col("context"))
     grouped = lambda c: four.groupBy(c.alias("context")).agg(F.sum("total").alias("total"), F.sum("ends").alias("ends"))
     finals = checkpointed(
-        unmarked.select("id", "text", at_limit.alias("at_limit")).mapInPandas(_finals(common), f"id {kind}, at_limit boolean, context string, last string, mask string, dangling boolean")
+        unmarked.select("id", "text", at_limit.alias("at_limit")).mapInPandas(_finals(common), f"id {kind}, at_limit boolean, context string, last string, mask string, dangling boolean, stopped boolean")
     )
     tried = finals.select("context").distinct()
     three, two = _shorter(tried["context"])
@@ -225,7 +230,8 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
         .when(F.col("ends") < ends, "context")
         .when(F.col("at_limit") & (code | unknown | F.col("ends").isNull() | (F.col("ends") < ends_at_limit)), "limit")
     )
-    cut = judged.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select("id", "reason")
+    # after a stop, only what is left open tells
+    cut = judged.withColumn("reason", reason).filter(F.col("reason").isNotNull() & ((F.col("reason") == "open") | ~F.col("stopped"))).select("id", "reason")
     return open_end.filter("mark").select("id", F.lit("mark").alias("reason")).unionByName(cut).select(F.col("id").alias(key), "reason")
 
 

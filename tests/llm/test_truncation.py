@@ -39,6 +39,15 @@ def test_cut_and_whole(spark):
     assert set(rows) == {"j"} and rows["j"][1] == len(cut)
 
 
+def test_stops_that_end_nothing(spark):
+    whole = corpus()
+    body = "We enrolled 12 patients with cardiostromaitis at several centres in the northern region. "
+    cut = [body + "Of 518 primary care patients, 12 (40.", body + "Samples of tissue (sensitivity 66.3%, specificity 18.", body + "Samples of tissue were analysed [truncated].", "Samples of tissue [truncated]", body + "Samples of tissue were compared vs."]
+    fine = [body + "Samples of tissue were analysed (n = 12.5).", body + "Samples were analysed (in part.)", body + "Samples (a) of tissue.", body + "The mean was 4.5."]
+    found, _ = reasons(spark, whole + cut + fine)
+    assert {i - len(whole): r for i, r in found.items()} == {0: "open", 1: "open", 2: "mark", 3: "mark", 4: "open"}
+
+
 def test_lengths_that_are_limits(spark):
     whole = corpus(900, 5)
     cut = [t[:200] for t in corpus(120, 6)]
