@@ -5,7 +5,9 @@ value, over the elements, of an exponentially spaced, truncated rank of a random
 maximum, and the chance that two registers are equal is the Jaccard similarity of the bags (up to the spacing).
 
 1. Rows with the very same texts become one class; only its least key goes on.
-2. Bands of registers are hashed; texts that share a bucket are candidates.
+2. Bands of registers are hashed; texts that share a bucket are candidates. Rows of a bucket are counted where they
+   meet: one alone is dropped, and a bucket with many is split into blocks, each pair of which is a piece of work of its
+   own, so that no task compares more than a fixed number of rows of one bucket with each other.
 3. The last bits of registers outside the bucket's own band travel with each row. A meeting counts if enough of them are
    equal. Over all such buckets of a pair, the count of equal ones and the two sizes give the joint likelihood of the
    similarity; pairs whose best estimate lies clearly below the threshold are dropped.
@@ -17,26 +19,33 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import WS, strip
 from corpusmill.session import checkpointed
 
 # Bags that share four fifths of the longer one have a Jaccard similarity of two thirds at least, wherever they differ:
-# sketches hold whole bags, so that this bound is theirs, too. A pair at the bound is missed with a chance of 0.015.
-BANDS, ROWS = 56, 6
+# sketches hold whole bags, so that this bound is theirs, too. A pair at the bound is missed with a chance of 0.01.
+BANDS, ROWS = 32, 5
 _REGISTERS = BANDS * ROWS
 #: Spacing of the ranks, and the largest rank.
 _BASE, _TOP = 1.1, 255
-#: Registers of the next bands that travel with a row, and the last bits kept of each; two bytes of size follow.
-_EXTRA, _BITS = 24, 2
+#: Registers of the next bands that travel with a row, and the last bits kept of each; ten bits of size follow.
+_EXTRA, _BITS = 26, 2
+#: Step of the sizes that travel: a size is known to one part in fifty.
+_STEP = 1.02
+#: Standard errors below what the least similarity leads to, down to which a meeting counts.
+_SLACK = 1.5
+#: Rows of one bucket that one task compares with each other at most, on average.
+_BLOCK = 2_000
+#: Rows up to which pairs or ids are broadcast (24 bytes each).
 _BROADCAST_ROWS = 500_000
 _WORD = re.compile(r"[^\W_]+")
 _DOCS = 2000
@@ -64,8 +73,8 @@ def ranks(elements: np.ndarray) -> np.ndarray:
 class Bags:
     """Element hashes of texts; words and register rows are cached up to a bound."""
 
-    def __init__(self, most: int = 60_000):
-        self.most = most
+    def __init__(self, most: int = 60_000, most_rows: int = 400_000):
+        self.most, self.most_rows = most, most_rows
         self._forget()
 
     def _forget(self) -> None:
@@ -76,7 +85,7 @@ class Bags:
 
     def elements(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text number, word number and occurrence (from 0) of all elements, by text."""
-        if len(self.words) > self.most:
+        if len(self.words) > self.most or len(self.rows) > self.most_rows:
             self._forget()
         words = self.words
         lengths = [len(t) for t in texts]
@@ -96,7 +105,7 @@ class Bags:
     def sketches(self, texts: list[list[str]]) -> np.ndarray:
         """Registers (texts x registers); no text may be empty."""
         doc, word, occurrence = self.elements(texts)
-        code = word * 4096 + np.minimum(occurrence, 4095)
+        code = (word << 32) + occurrence
         different, back = np.unique(code, return_inverse=True)
         rows = self.rows
         unseen = [c for c in different.tolist() if c not in rows]
@@ -104,7 +113,7 @@ class Bags:
             c = np.array(unseen)
             for i, x in enumerate(unseen, len(rows)):
                 rows[x] = i
-            self.values = np.concatenate([self.values, ranks(self.hash(c // 4096, c % 4096))])
+            self.values = np.concatenate([self.values, ranks(self.hash(c >> 32, c & 0xFFFFFFFF))])
         at = np.array([rows[c] for c in different.tolist()], np.int64)[back]
         # one element of every text at a time, longest texts first
         n = np.bincount(doc, minlength=len(texts))
@@ -144,8 +153,8 @@ def _bands(min_words: int):
                 texts = [texts[i] for i in real]
                 s = bags.sketches(texts).reshape(len(texts), BANDS, ROWS)
                 with np.errstate(over="ignore"):
-                    bucket = _mix((s.astype(np.uint64) * powers).sum(2, dtype=np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64)) >> np.uint64(24)
-                sizes = np.minimum([len(t) for t in texts], 0x7FFF).astype(np.int64)
+                    bucket = _mix((s.astype(np.uint64) * powers).sum(2, dtype=np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64)) >> np.uint64(16)
+                sizes = np.rint(np.log([len(t) for t in texts]) / math.log(_STEP)).astype(np.int64)
                 extra = np.repeat(sizes[:, None] << (_BITS * _EXTRA), BANDS, axis=1)
                 for i in range(_EXTRA):
                     extra |= (np.roll(s[:, :, i % ROWS], -1 - i // ROWS, axis=1).astype(np.int64) & (2**_BITS - 1)) << (_BITS * i)
@@ -155,18 +164,17 @@ def _bands(min_words: int):
 
 
 def _bag_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """id and bag: the sorted element hashes, three bytes each."""
+    """id and bag: the sorted element hashes, eight bytes each."""
     bags = Bags()
     for batch in batches:
         for begin in range(0, len(batch), _DOCS):
             part = batch.iloc[begin : begin + _DOCS]
             texts = _texts(part)
             doc, word, occurrence = bags.elements(texts)
-            h = (bags.hash(word, occurrence) & np.uint64(0xFFFFFF)).astype("<u4")
-            order = np.lexsort((h, doc))
-            raw = h[order].view(np.uint8).reshape(-1, 4)[:, :3]
+            h = bags.hash(word, occurrence)
+            h = h[np.lexsort((h, doc))]
             cut = np.searchsorted(doc, np.arange(len(texts) + 1))
-            yield pd.DataFrame({"id": part["id"], "bag": [raw[cut[i] : cut[i + 1]].tobytes() for i in range(len(texts))]})
+            yield pd.DataFrame({"id": part["id"], "bag": [h[cut[i] : cut[i + 1]].tobytes() for i in range(len(texts))]})
 
 
 def likeliest(less: np.ndarray, equal: np.ndarray, more: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, bits: int | None = None) -> np.ndarray:
@@ -189,47 +197,67 @@ def likeliest(less: np.ndarray, equal: np.ndarray, more: np.ndarray, n_a: np.nda
     return np.take_along_axis(j, fit.argmax(1)[:, None], 1)[:, 0]
 
 
+def _meetings(bands: DataFrame, counts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What counts makes of a, ea, b, eb of all rows that share a bucket, each pair once per bucket and in any order.
+
+    The rows are shuffled by bucket once. Small buckets are joined where they lie; of a large one each pair of blocks is
+    joined under a key of its own.
+    """
+    held = bands.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).filter("n > 1")
+    side = lambda df, k: df.select(*[c for c in df.columns if c not in ("id", "extra", "n")], F.col("id").alias(k), F.col("extra").alias(f"e{k}"))
+    small = held.filter(F.col("n") <= _BLOCK)
+    within = counts(side(small, "a").join(side(small, "b"), "bucket").filter("a < b"))
+    large = held.filter(F.col("n") > _BLOCK).withColumn("of", F.ceil(F.col("n") / _BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("of")).cast("int"))
+    left = large.select("bucket", "id", "extra", "n", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("of") - 1)).alias("j"))
+    right = large.select("bucket", "id", "extra", "n", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
+    across = counts(side(left, "a").join(side(right, "b"), ["bucket", "i", "j"]).filter("i < j or a < b"))
+    return within.unionByName(across)
+
+
 def _candidates(bands: DataFrame, share: float) -> DataFrame:
     """a < b of the pairs that share buckets and whose likeliest similarity may reach the share of the longer one."""
-    a = bands.select("bucket", F.col("id").alias("a"), F.col("extra").alias("ea"))
-    b = bands.select("bucket", F.col("id").alias("b"), F.col("extra").alias("eb"))
     size = lambda c: F.shiftright(c, _BITS * _EXTRA)
-    longer = F.greatest("na", "nb")
     differ = F.col("ea").bitwiseXOR(F.col("eb"))
     differ = reduce(Column.bitwiseOR, [F.shiftright(differ, i) for i in range(1, _BITS)], differ)
     lowest = F.lit(sum(1 << (_BITS * i) for i in range(_EXTRA)))
-    met = a.join(b, "bucket").filter(F.col("a") < F.col("b"))
-    met = met.select("a", "b", (F.lit(_EXTRA) - F.bit_count(differ.bitwiseAND(lowest))).alias("equal"), size("ea").alias("na"), size("eb").alias("nb"))
-    # chance meetings end here, before anything is shuffled: half a standard error below what the least similarity leads to
+    equal = F.lit(_EXTRA) - F.bit_count(differ.bitwiseAND(lowest))
+    # chance meetings end here, before anything is shuffled
     least = share / (2 - share)
     same = least + (1 - least) / 2**_BITS
-    met = met.filter((F.col("equal") >= math.ceil(_EXTRA * same - math.sqrt(_EXTRA * same * (1 - same)) / 2)) & (F.least("na", "nb") >= share * longer))
-    seen = met.groupBy("a", "b").agg(F.sum("equal").alias("equal"), F.count("*").alias("bands"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    enough = math.ceil(_EXTRA * same - _SLACK * math.sqrt(_EXTRA * same * (1 - same)))
+    # sizes are rounded, each by half a step at most
+    apart = math.ceil(-math.log(share) / math.log(_STEP)) + 1
+
+    def counts(met: DataFrame) -> DataFrame:
+        met = met.filter((equal >= enough) & (F.abs(size("ea") - size("eb")) <= apart))
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), equal.alias("equal"), F.least(size("ea"), size("eb")).alias("na"), F.greatest(size("ea"), size("eb")).alias("nb"))
+
+    seen = _meetings(bands, counts).groupBy("a", "b").agg(F.sum("equal").alias("equal"), F.count("*").alias("bands"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    na, nb = F.pow(F.lit(_STEP), "na"), F.pow(F.lit(_STEP), "nb")
 
     @F.pandas_udf("double")
     def similarity(equal: pd.Series, bands: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
         equal, n = equal.to_numpy(float), bands.to_numpy(float) * _EXTRA
         return pd.Series(likeliest(n - equal, equal, np.zeros(len(n)), na.to_numpy(float), nb.to_numpy(float), _BITS))
 
-    needed = share * longer / (F.col("na") + F.col("nb") - share * longer)
+    needed = F.least(share * nb / (na + nb - share * nb), F.lit(1.0))
     # three standard errors of an estimate from so many registers, of which neighbouring bands may share some
     slack = 3 * F.sqrt(needed * (1 - needed) / _EXTRA) * 2**_BITS / (2**_BITS - 1)
-    return seen.filter(similarity("equal", "bands", "na", "nb") >= needed - slack).select("a", "b")
+    return seen.filter(similarity("equal", "bands", na, nb) >= needed - slack).select("a", "b")
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, share: float) -> DataFrame:
     """a, b and overlap (the shared elements' part of the longer bag) of the pairs that reach the share."""
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id"))
-    held = sides.join(bags, "id")
+    held = bags.join(F.broadcast(sides) if pairs.count() <= _BROADCAST_ROWS // 2 else sides, "id")
     both = held.groupBy("a", "b").agg(F.max(F.when(F.col("id") == F.col("a"), F.col("bag"))).alias("x"), F.max(F.when(F.col("id") == F.col("b"), F.col("bag"))).alias("y"))
 
     def overlap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wide = lambda raw: np.pad(np.frombuffer(raw, np.uint8).reshape(-1, 3), ((0, 0), (0, 1))).view("<u4")[:, 0]
         for batch in batches:
             found = []
             for x, y in zip(batch["x"], batch["y"]):
-                p, q = wide(x), wide(y)
-                found.append(len(np.intersect1d(p, q, assume_unique=False)) / max(len(p), len(q), 1))
+                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                found.append(len(np.intersect1d(p, q, assume_unique=True)) / max(len(p), len(q), 1))
             out = batch[["a", "b"]].assign(overlap=found)
             yield out[out["overlap"] >= share]
 

@@ -2,6 +2,7 @@ import collections
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.llm import dedup
@@ -61,6 +62,32 @@ def test_pairs_that_barely_reach_the_share(spark):
     assert got <= want and len(got) >= 0.98 * len(want)
 
 
+@pytest.mark.parametrize("edits", [0.1, 0.15, 0.19])
+def test_recall_near_the_share_in_ordinary_text(spark, edits):
+    rng = random.Random(round(edits * 100))
+    content, common = [f"w{i}" for i in range(20_000)], "the of and in to with was for a is".split()
+    rows, want = [], set()
+    for i in range(400):
+        body = [rng.choice(common) if rng.random() < 0.35 else rng.choice(content) for _ in range(120)]
+        copy = body[:]
+        for j in rng.sample(range(120), round(edits * 120)):
+            copy[j] = f"new{i}x{j}"
+        rows += [(2 * i, "t", " ".join(body)), (2 * i + 1, "t", " ".join(copy))]
+        if overlap(rows[-2], rows[-1]) >= 0.8:
+            want.add((2 * i, 2 * i + 1))
+    got = {tuple(r) for r in dedup.expanded(*dedup.similar_representatives(table(spark, rows))).collect()}
+    assert got <= want and len(got) >= 0.96 * len(want) and len(want) > 390
+
+
+def test_large_buckets_are_split(spark, monkeypatch):
+    rows = [(i, f"b{i % 3}", i * 7) for i in range(200)] + [(i, "alone" + str(i), 0) for i in range(20)]
+    bands = spark.createDataFrame([(hash(b) & 0xFFFF, i, e) for i, b, e in rows], "bucket bigint, id bigint, extra bigint")
+    met = lambda: sorted((min(r.a, r.b), max(r.a, r.b)) for r in dedup._meetings(bands, lambda m: m.select("a", "b")).collect())
+    whole = met()
+    monkeypatch.setattr(dedup, "_BLOCK", 9)
+    assert met() == whole and len(whole) == len(set(whole)) == sum(n * (n - 1) // 2 for n in (67, 67, 66))
+
+
 def test_odd_rows_and_classes(spark):
     text = " ".join(f"word{i}" for i in range(50))
     rows = [(i, "same", text) for i in range(1, 6)] + [(6, "SAME", text.upper() + "."), (7, None, text), (8, "same", None), (9, None, None), (10, "t", ""), (11, "t", "word1 " * 39), (12, "t", "word1 " * 39), (None, "same", text), (13, "l", "deep " * 60_000), (14, "l", "deep " * 60_000 + "x"), (3, "same", text), (15, "c", "中" * 500), (16, "c", ". , ! " * 20)]
