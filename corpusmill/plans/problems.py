@@ -45,50 +45,43 @@ YEARS = (1800, 2027)
 TEXTS = {"title": True, "abstract": False}
 
 
-def _short_values(articles: DataFrame) -> dict[str, tuple]:
-    """By text column its suspects, and what is usual among them."""
-    few = {f: quality.suspects(articles, f, key="pmid", load="basename", markup=m) for f, m in TEXTS.items()}
-    return {f: (x, quality.usual_short(articles, f, x, load="basename")) for f, x in few.items()}
-
-
-def _load_profiles(articles: DataFrame, short: dict[str, tuple]) -> dict[str, DataFrame]:
-    counts = {f: quality.text_counts(articles, f, load="basename", markup=m, usual=short[f][1]) for f, m in TEXTS.items()}
-    counts["year"] = quality.number_counts(articles, "year", *YEARS, load="basename")
-    return {f: quality.load_profile(checkpointed(c), f) for f, c in counts.items()}
+def _judged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The articles, the violations among their texts, and the profile of every load and field."""
+    articles = table(spark, d, "articles")
+    values = quality.measured(articles, TEXTS, load="basename", key="pmid")
+    suspects, others = quality.judged(values)
+    counts = quality.value_counts(values, suspects, others).unionByName(quality.number_counts(articles, "year", *YEARS, load="basename"))
+    return articles, quality.violations(suspects), quality.load_profile(checkpointed(counts))
 
 
 def p4_profile(spark: SparkSession, d: str) -> DataFrame:
     """The measures of every load and field, long."""
-    articles = table(spark, d, "articles")
-    profiles = list(_load_profiles(articles, _short_values(articles)).values())
-    return profiles[0].unionByName(profiles[1]).unionByName(profiles[2])
+    return _judged(spark, d)[2]
+
+
+def p4_years(spark: SparkSession, d: str) -> DataFrame:
+    """The profile of the years alone."""
+    profile = quality.load_profile(checkpointed(quality.number_counts(table(spark, d, "articles"), "year", *YEARS, load="basename")))
+    return profile.select("load", "rows", "n", "different", *[F.round(m, 6).alias(m) for m in ("null_rate", "distinct_share", "repeats", "top_share", "center", "divergence")])
 
 
 def p4_departures(spark: SparkSession, d: str) -> DataFrame:
     """Which loads depart from the others, in which measure, with the usual value beside it."""
-    articles = table(spark, d, "articles")
-    return _departures(articles, _short_values(articles))
+    return _departures(_judged(spark, d)[2])
 
 
-def _departures(articles: DataFrame, short: dict[str, tuple]) -> DataFrame:
+def _departures(profile: DataFrame) -> DataFrame:
     x = quality.Limits()
-    shared = {"null_rate": x.rate, "repeats": x.distinct, "top_share": x.distinct, "divergence": x.divergence}
-    out = None
-    for field, profile in _load_profiles(articles, short).items():
-        # years are few, so the share of different ones only tells how large a load is
-        own = {"center": x.position} if field == "year" else {"center": x.length, "distinct_share": x.distinct}
-        found = quality.departures(profile, shared | own, x)
-        out = found if out is None else out.unionByName(found)
-    return out
+    floors = {"null_rate": x.rate, "repeats": x.distinct, "top_share": x.distinct, "divergence": x.divergence}
+    # years are few, so the share of different ones only tells how large a load is
+    text = {"center": x.length, "distinct_share": x.distinct}
+    return quality.departures(profile, floors, x, own={f: text for f in TEXTS} | {"year": {"center": x.position}})
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    articles = table(spark, d, "articles")
-    at = {"key": "pmid", "load": "basename"}
-    short = _short_values(articles)
-    title, abstract = (quality.text_violations(articles, f, markup=m, few=short[f][0], usual=short[f][1], **at) for f, m in TEXTS.items())
-    values = title.unionByName(abstract).unionByName(quality.range_violations(articles, "year", *YEARS, **at))
-    loads = _departures(articles, short).select("field", "load", F.lit(0).cast("bigint").alias("key"))
+    articles, values, profile = _judged(spark, d)
+    values = values.unionByName(quality.range_violations(articles, "year", *YEARS, key="pmid", load="basename"))
+    loads = _departures(profile).select("field", "load", F.lit(0).cast("bigint").alias("key"))
     return values.unionByName(loads).select("field", F.col("load").alias("basename"), F.col("key").alias("pmid")).distinct()
 
 
@@ -102,6 +95,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_profile": p4_profile,
     "p4_departures": p4_departures,
+    "p4_years": p4_years,
 }
 
 _CHANGES = r"""
@@ -179,6 +173,19 @@ select pmid, basename, ordinal from seq qualify row_number() over (partition by
     "p2_state": _CHANGES + """
 select pmid, title, abstract, "year", journal, basename, ordinal from seq
 qualify row_number() over (partition by pmid order by n desc) = 1 and kind <> 'd'
+""",
+    "p4_years": """
+with v as (select basename, case when "year" between 1800 and 2027 then "year" end y, "year" is null missing from articles),
+e as (select basename, y, count(*) c from v where y is not null group by all),
+f as (select basename, y // 10 form, sum(c) m from e group by all),
+w as (select form, sum(m) / sum(sum(m)) over () q from f group by form),
+l as (select basename, count(*) r, count(y) n, count(*) filter (where missing) nulls from v group by 1),
+s as (select basename, count(*) different, sum(c * (c - 1)) same, max(c) most, sum(c * y) total from e group by 1),
+d as (select basename, sum(case when p > 0 then p * log2(p / ((p + q) / 2)) else 0 end + q * log2(q / ((p + q) / 2))) / 2 + (1 - sum(q)) / 2 divergence
+  from (select f.basename, f.m / l.n p, w.q from f join w using (form) join l using (basename)) group by 1)
+select basename "load", r "rows", n, coalesce(different, 0) "different", round(nulls / r, 6) null_rate, round(different / n, 6) distinct_share,
+  case when n > 1 then round(same / (n * (n - 1)), 6) end repeats, round(most / n, 6) top_share, round(total / n, 6) center, round(divergence, 6) divergence
+from l left join s using (basename) left join d using (basename)
 """,
     "p2_patched": _CHANGES + """,
 reset as (select *, coalesce(max(case when kind <> 'u' then n end) over (partition by pmid), 0) r, arg_max(kind, n) over (partition by pmid) last_kind from seq)
