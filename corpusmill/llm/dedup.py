@@ -11,14 +11,16 @@ maximum, and the chance that two registers are equal is the Jaccard similarity o
 3. The last bits of registers outside the bucket's own band travel with each row. A meeting counts if enough of them are
    equal. Over all such buckets of a pair, the count of equal ones and the two sizes give the joint likelihood of the
    similarity; pairs whose best estimate lies clearly below the threshold are dropped.
-4. What is left is verified by the exact bags, and classes are expanded.
+4. Of what is left all registers are compared, whose joint likelihood leaves hardly a pair below the threshold.
+5. These are verified by their texts, word by word, and classes are expanded.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import chain, count, islice
@@ -153,7 +155,7 @@ def _bands(min_words: int):
                 texts = [texts[i] for i in real]
                 s = bags.sketches(texts).reshape(len(texts), BANDS, ROWS)
                 with np.errstate(over="ignore"):
-                    bucket = _mix((s.astype(np.uint64) * powers).sum(2, dtype=np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64)) >> np.uint64(16)
+                    bucket = _mix((s.astype(np.uint64) * powers).sum(2, dtype=np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64)) >> np.uint64(24)
                 sizes = np.rint(np.log([len(t) for t in texts]) / math.log(_STEP)).astype(np.int64)
                 extra = np.repeat(sizes[:, None] << (_BITS * _EXTRA), BANDS, axis=1)
                 for i in range(_EXTRA):
@@ -163,18 +165,22 @@ def _bands(min_words: int):
     return run
 
 
-def _bag_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """id and bag: the sorted element hashes, eight bytes each."""
+def _register_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """id and payload: the number of words in eight bytes, then all registers."""
     bags = Bags()
     for batch in batches:
         for begin in range(0, len(batch), _DOCS):
             part = batch.iloc[begin : begin + _DOCS]
             texts = _texts(part)
-            doc, word, occurrence = bags.elements(texts)
-            h = bags.hash(word, occurrence)
-            h = h[np.lexsort((h, doc))]
-            cut = np.searchsorted(doc, np.arange(len(texts) + 1))
-            yield pd.DataFrame({"id": part["id"], "bag": [h[cut[i] : cut[i + 1]].tobytes() for i in range(len(texts))]})
+            sizes = np.array([len(t) for t in texts], "<i8")
+            s = np.hstack([sizes[:, None].view(np.uint8), bags.sketches([t or ["-"] for t in texts])])
+            yield pd.DataFrame({"id": part["id"], "payload": [r.tobytes() for r in s]})
+
+
+def _text_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """id and payload: the words, compressed."""
+    for batch in batches:
+        yield pd.DataFrame({"id": batch["id"], "payload": [zlib.compress(" ".join(t).encode(), 1) for t in _texts(batch)]})
 
 
 def likeliest(less: np.ndarray, equal: np.ndarray, more: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, bits: int | None = None) -> np.ndarray:
@@ -246,22 +252,49 @@ def _candidates(bands: DataFrame, share: float) -> DataFrame:
     return seen.filter(similarity("equal", "bands", na, nb) >= needed - slack).select("a", "b")
 
 
-def _verified(pairs: DataFrame, bags: DataFrame, share: float) -> DataFrame:
-    """a, b and overlap (the shared elements' part of the longer bag) of the pairs that reach the share."""
+def _compared(pairs: DataFrame, texts: DataFrame, payload: Callable, judge: Callable[[pd.Series, pd.Series], np.ndarray], least: float) -> DataFrame:
+    """a, b and value of the pairs whose judged payloads reach the least value. pairs are written already."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    few = pairs.count() <= _BROADCAST_ROWS // 2
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id"))
-    held = bags.join(F.broadcast(sides) if pairs.count() <= _BROADCAST_ROWS // 2 else sides, "id")
-    both = held.groupBy("a", "b").agg(F.max(F.when(F.col("id") == F.col("a"), F.col("bag"))).alias("x"), F.max(F.when(F.col("id") == F.col("b"), F.col("bag"))).alias("y"))
+    made = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInPandas(payload, "id bigint, payload binary")
+    held = made.join(F.broadcast(sides) if few else sides, "id")
+    both = held.groupBy("a", "b").agg(F.max(F.when(F.col("id") == F.col("a"), F.col("payload"))).alias("x"), F.max(F.when(F.col("id") == F.col("b"), F.col("payload"))).alias("y"))
 
-    def overlap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for x, y in zip(batch["x"], batch["y"]):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                found.append(len(np.intersect1d(p, q, assume_unique=True)) / max(len(p), len(q), 1))
-            out = batch[["a", "b"]].assign(overlap=found)
-            yield out[out["overlap"] >= share]
+            out = batch[["a", "b"]].assign(value=judge(batch["x"], batch["y"]))
+            yield out[out["value"] >= least]
+
+    return both.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).mapInPandas(run, "a bigint, b bigint, value double")
 
-    return both.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).mapInPandas(overlap, "a bigint, b bigint, overlap double")
+
+def _likely(share: float):
+    """By how many standard errors the similarity that all registers make most likely exceeds what the share needs."""
+
+    def judge(x: pd.Series, y: pd.Series) -> np.ndarray:
+        if not len(x):
+            return np.zeros(0)
+        rows = lambda c: np.frombuffer(b"".join(c), np.uint8).reshape(len(c), -1)
+        a, b = rows(x), rows(y)
+        size = lambda r: np.ascontiguousarray(r[:, :8]).view("<i8")[:, 0].astype(float)
+        na, nb = size(a), size(b)
+        less, equal = (a[:, 8:] < b[:, 8:]).sum(1).astype(float), (a[:, 8:] == b[:, 8:]).sum(1).astype(float)
+        longer = np.maximum(na, nb)
+        needed = np.minimum(share * longer / (na + nb - share * longer), 1.0)
+        found = likeliest(less, equal, _REGISTERS - less - equal, na, nb)
+        return np.where(np.minimum(na, nb) >= share * longer, (found - needed) / np.sqrt(needed * (1 - needed) / _REGISTERS + 1e-4), -np.inf)
+
+    return judge
+
+
+def _overlap(x: pd.Series, y: pd.Series) -> np.ndarray:
+    """The shared words' part of the longer text, counted with repeats."""
+    words = lambda raw: Counter(zlib.decompress(raw).decode().split(" "))
+    out = []
+    for p, q in zip(map(words, x), map(words, y)):
+        out.append((p & q).total() / max(p.total(), q.total()))
+    return np.array(out, float)
 
 
 def similar_representatives(docs: DataFrame, *, key: str = "pmid", title: str = "title", abstract: str = "abstract", min_words: int = 40, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -287,9 +320,9 @@ def similar_representatives(docs: DataFrame, *, key: str = "pmid", title: str =
     copies = checkpointed(copies.join(long, "rep", "left_semi"))
     bands = firsts.mapInPandas(_bands(min_words), "bucket bigint, id bigint, extra bigint")
     pairs = checkpointed(_candidates(bands, share))
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = texts.join(F.broadcast(ids) if ids.count() <= _BROADCAST_ROWS else ids, "id", "left_semi")
-    return _verified(pairs, wanted.mapInPandas(_bag_rows, "id bigint, bag binary"), share).select("a", "b", "overlap"), copies
+    # as many standard errors as leave one in a thousand
+    pairs = checkpointed(_compared(pairs, firsts, _register_rows, _likely(share), -3.0).select("a", "b"))
+    return _compared(pairs, firsts, _text_rows, _overlap, share).withColumnRenamed("value", "overlap"), copies
 
 
 def expanded(pairs: DataFrame, copies: DataFrame, *, key: str = "pmid") -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import WS_CHARS, rstrip
-from corpusmill.operators.quality import STAND_IN, Limits, closed_form, distinct_words
+from corpusmill.operators.quality import Limits, closed_form, is_short
 from corpusmill.session import checkpointed
 
 # Stops, closing signs that may follow them, and marks of cutting.
@@ -178,14 +178,14 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     ends below which a value is taken as cut, elsewhere and at a length that is a limit. Repeated keys are judged each.
     """
     v = F.col("text")
-    texts = df.select(F.col(key).alias("id"), rstrip(text).alias("text")).filter(v.isNotNull() & (v != "") & ~v.rlike(STAND_IN))
+    texts = df.select(F.col(key).alias("id"), rstrip(text).alias("text")).filter(v.isNotNull() & (v != ""))
     stem = F.rtrim(v, F.lit(CLOSERS))
     dots = stem.endswith("...") | stem.endswith("…")
     open_end = texts.filter(dots | ~F.right(stem, F.lit(1)).isin(*STOPS) | v.rlike(MARK) | v.rlike(_OPEN_STOP))
     # values of few words count if they carry a mark and aren't p4's
-    words_of = distinct_words(v)
+    short = is_short(v, Limits().few_words)
     marked = dots | v.rlike(MARK)
-    open_end = open_end.filter((words_of > Limits().few_words) | (marked & ~closed_form(v, words_of)))
+    open_end = open_end.filter(~short | (marked & ~closed_form(v, short)))
     open_end = checkpointed(open_end.select("id", "text", marked.alias("mark"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("same")))
     kind = dict(open_end.dtypes)["id"]
 
