@@ -11,8 +11,7 @@ maximum, and the chance that two registers are equal is the Jaccard similarity o
 3. The last bits of registers outside the bucket's own band travel with each row. A meeting counts if enough of them are
    equal. Over all such buckets of a pair, the count of equal ones and the two sizes give the joint likelihood of the
    similarity; pairs whose best estimate lies clearly below the threshold are dropped.
-4. Of what is left all registers are compared, whose joint likelihood leaves hardly a pair below the threshold.
-5. These are verified by their texts, word by word, and classes are expanded.
+4. What is left is verified by the texts, word by word, and classes are expanded.
 """
 
 from __future__ import annotations
@@ -34,17 +33,19 @@ from corpusmill.functions.text import WS, strip
 from corpusmill.session import checkpointed
 
 # Bags that share four fifths of the longer one have a Jaccard similarity of two thirds at least, wherever they differ:
-# sketches hold whole bags, so that this bound is theirs, too. A pair at the bound is missed with a chance of 0.01.
-BANDS, ROWS = 32, 5
+# sketches hold whole bags, so that this bound is theirs, too. A pair at the bound is missed with a chance of 0.016.
+BANDS, ROWS = 28, 5
 _REGISTERS = BANDS * ROWS
 #: Spacing of the ranks, and the largest rank.
 _BASE, _TOP = 1.1, 255
-#: Registers of the next bands that travel with a row, and the last bits kept of each; ten bits of size follow.
-_EXTRA, _BITS = 26, 2
+#: Registers of the next bands that travel with a row, in two numbers, and the last bits kept of each; the first number
+#: ends with ten bits of size.
+_FIRST, _SECOND, _BITS = 26, 32, 2
+_EXTRA = _FIRST + _SECOND
 #: Step of the sizes that travel: a size is known to one part in fifty.
 _STEP = 1.02
 #: Standard errors below what the least similarity leads to, down to which a meeting counts.
-_SLACK = 1.5
+_SLACK = 2.0
 #: Rows of one bucket that one task compares with each other at most, on average.
 _BLOCK = 2_000
 #: Rows up to which pairs or ids are broadcast (24 bytes each).
@@ -139,7 +140,7 @@ def _texts(batch: pd.DataFrame) -> list[list[str]]:
 
 
 def _bands(min_words: int):
-    """bucket, id and extra of every band: extra has the last bits of registers of the next bands and the size of the text."""
+    """bucket, id, extra and more of every band: the last bits of registers of the next bands and the size of the text."""
     powers = np.array([pow(0x100000001B3, i, 2**64) for i in range(ROWS)], np.uint64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -157,30 +158,19 @@ def _bands(min_words: int):
                 with np.errstate(over="ignore"):
                     bucket = _mix((s.astype(np.uint64) * powers).sum(2, dtype=np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64)) >> np.uint64(24)
                 sizes = np.rint(np.log([len(t) for t in texts]) / math.log(_STEP)).astype(np.int64)
-                extra = np.repeat(sizes[:, None] << (_BITS * _EXTRA), BANDS, axis=1)
+                extra = np.repeat(sizes[:, None] << (_BITS * _FIRST), BANDS, axis=1), np.zeros((len(texts), BANDS), np.int64)
                 for i in range(_EXTRA):
-                    extra |= (np.roll(s[:, :, i % ROWS], -1 - i // ROWS, axis=1).astype(np.int64) & (2**_BITS - 1)) << (_BITS * i)
-                yield pd.DataFrame({"bucket": bucket.view(np.int64).ravel(), "id": np.repeat(part["id"].to_numpy()[real], BANDS), "extra": extra.ravel()})
+                    last = np.roll(s[:, :, i % ROWS], -1 - i // ROWS, axis=1).astype(np.int64) & (2**_BITS - 1)
+                    np.bitwise_or(extra[i >= _FIRST], last << (_BITS * (i if i < _FIRST else i - _FIRST)), out=extra[i >= _FIRST])
+                yield pd.DataFrame({"bucket": bucket.view(np.int64).ravel(), "id": np.repeat(part["id"].to_numpy()[real], BANDS), "extra": extra[0].ravel(), "more": extra[1].ravel()})
 
     return run
 
 
-def _register_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """id and payload: the number of words in eight bytes, then all registers."""
-    bags = Bags()
-    for batch in batches:
-        for begin in range(0, len(batch), _DOCS):
-            part = batch.iloc[begin : begin + _DOCS]
-            texts = _texts(part)
-            sizes = np.array([len(t) for t in texts], "<i8")
-            s = np.hstack([sizes[:, None].view(np.uint8), bags.sketches([t or ["-"] for t in texts])])
-            yield pd.DataFrame({"id": part["id"], "payload": [r.tobytes() for r in s]})
-
-
 def _text_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """id and payload: the words, compressed."""
+    """id and words: the words of the text, compressed."""
     for batch in batches:
-        yield pd.DataFrame({"id": batch["id"], "payload": [zlib.compress(" ".join(t).encode(), 1) for t in _texts(batch)]})
+        yield pd.DataFrame({"id": batch["id"], "words": [zlib.compress(" ".join(t).encode(), 1) for t in _texts(batch)]})
 
 
 def likeliest(less: np.ndarray, equal: np.ndarray, more: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, bits: int | None = None) -> np.ndarray:
@@ -204,18 +194,18 @@ def likeliest(less: np.ndarray, equal: np.ndarray, more: np.ndarray, n_a: np.nda
 
 
 def _meetings(bands: DataFrame, counts: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """What counts makes of a, ea, b, eb of all rows that share a bucket, each pair once per bucket and in any order.
+    """What counts makes of a, ea, ma, b, eb, mb of all rows that share a bucket, each pair once per bucket and in any order.
 
     The rows are shuffled by bucket once. Small buckets are joined where they lie; of a large one each pair of blocks is
     joined under a key of its own.
     """
     held = bands.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).filter("n > 1")
-    side = lambda df, k: df.select(*[c for c in df.columns if c not in ("id", "extra", "n")], F.col("id").alias(k), F.col("extra").alias(f"e{k}"))
+    side = lambda df, k: df.select(*[c for c in df.columns if c not in ("id", "extra", "more", "n")], F.col("id").alias(k), F.col("extra").alias(f"e{k}"), F.col("more").alias(f"m{k}"))
     small = held.filter(F.col("n") <= _BLOCK)
     within = counts(side(small, "a").join(side(small, "b"), "bucket").filter("a < b"))
     large = held.filter(F.col("n") > _BLOCK).withColumn("of", F.ceil(F.col("n") / _BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("of")).cast("int"))
-    left = large.select("bucket", "id", "extra", "n", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("of") - 1)).alias("j"))
-    right = large.select("bucket", "id", "extra", "n", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
+    left = large.select("bucket", "id", "extra", "more", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("of") - 1)).alias("j"))
+    right = large.select("bucket", "id", "extra", "more", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
     across = counts(side(left, "a").join(side(right, "b"), ["bucket", "i", "j"]).filter("i < j or a < b"))
     return within.unionByName(across)
 
@@ -223,10 +213,14 @@ def _meetings(bands: DataFrame, counts: Callable[[DataFrame], DataFrame]) -> Dat
 def _candidates(bands: DataFrame, share: float) -> DataFrame:
     """a < b of the pairs that share buckets and whose likeliest similarity may reach the share of the longer one."""
     size = lambda c: F.shiftright(c, _BITS * _EXTRA)
-    differ = F.col("ea").bitwiseXOR(F.col("eb"))
-    differ = reduce(Column.bitwiseOR, [F.shiftright(differ, i) for i in range(1, _BITS)], differ)
-    lowest = F.lit(sum(1 << (_BITS * i) for i in range(_EXTRA)))
-    equal = F.lit(_EXTRA) - F.bit_count(differ.bitwiseAND(lowest))
+
+    def unequal(x: str, y: str, n: int) -> Column:
+        differ = F.col(x).bitwiseXOR(F.col(y))
+        differ = reduce(Column.bitwiseOR, [F.shiftrightunsigned(differ, i) for i in range(1, _BITS)], differ)
+        mask = sum(1 << (_BITS * i) for i in range(n))
+        return F.bit_count(differ.bitwiseAND(F.lit(mask)))
+
+    equal = F.lit(_EXTRA) - unequal("ea", "eb", _FIRST) - unequal("ma", "mb", _SECOND)
     # chance meetings end here, before anything is shuffled
     least = share / (2 - share)
     same = least + (1 - least) / 2**_BITS
@@ -252,49 +246,27 @@ def _candidates(bands: DataFrame, share: float) -> DataFrame:
     return seen.filter(similarity("equal", "bands", na, nb) >= needed - slack).select("a", "b")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, payload: Callable, judge: Callable[[pd.Series, pd.Series], np.ndarray], least: float) -> DataFrame:
-    """a, b and value of the pairs whose judged payloads reach the least value. pairs are written already."""
+def _overlap(x: pd.Series, y: pd.Series) -> np.ndarray:
+    """The shared words' part of the longer text, counted with repeats."""
+    words = lambda raw: Counter(zlib.decompress(raw).decode().split(" "))
+    return np.array([(p & q).total() / max(p.total(), q.total()) for p, q in zip(map(words, x), map(words, y))], float)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
+    """a, b and overlap (the shared words' part of the longer text) of the pairs that reach the share. pairs are written already."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     few = pairs.count() <= _BROADCAST_ROWS // 2
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id"))
-    made = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInPandas(payload, "id bigint, payload binary")
-    held = made.join(F.broadcast(sides) if few else sides, "id")
-    both = held.groupBy("a", "b").agg(F.max(F.when(F.col("id") == F.col("a"), F.col("payload"))).alias("x"), F.max(F.when(F.col("id") == F.col("b"), F.col("payload"))).alias("y"))
+    packed = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInPandas(_text_rows, "id bigint, words binary")
+    held = packed.join(F.broadcast(sides) if few else sides, "id")
+    both = held.groupBy("a", "b").agg(F.max(F.when(F.col("id") == F.col("a"), F.col("words"))).alias("x"), F.max(F.when(F.col("id") == F.col("b"), F.col("words"))).alias("y"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = batch[["a", "b"]].assign(value=judge(batch["x"], batch["y"]))
-            yield out[out["value"] >= least]
+            out = batch[["a", "b"]].assign(overlap=_overlap(batch["x"], batch["y"]))
+            yield out[out["overlap"] >= share]
 
-    return both.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).mapInPandas(run, "a bigint, b bigint, value double")
-
-
-def _likely(share: float):
-    """By how many standard errors the similarity that all registers make most likely exceeds what the share needs."""
-
-    def judge(x: pd.Series, y: pd.Series) -> np.ndarray:
-        if not len(x):
-            return np.zeros(0)
-        rows = lambda c: np.frombuffer(b"".join(c), np.uint8).reshape(len(c), -1)
-        a, b = rows(x), rows(y)
-        size = lambda r: np.ascontiguousarray(r[:, :8]).view("<i8")[:, 0].astype(float)
-        na, nb = size(a), size(b)
-        less, equal = (a[:, 8:] < b[:, 8:]).sum(1).astype(float), (a[:, 8:] == b[:, 8:]).sum(1).astype(float)
-        longer = np.maximum(na, nb)
-        needed = np.minimum(share * longer / (na + nb - share * longer), 1.0)
-        found = likeliest(less, equal, _REGISTERS - less - equal, na, nb)
-        return np.where(np.minimum(na, nb) >= share * longer, (found - needed) / np.sqrt(needed * (1 - needed) / _REGISTERS + 1e-4), -np.inf)
-
-    return judge
-
-
-def _overlap(x: pd.Series, y: pd.Series) -> np.ndarray:
-    """The shared words' part of the longer text, counted with repeats."""
-    words = lambda raw: Counter(zlib.decompress(raw).decode().split(" "))
-    out = []
-    for p, q in zip(map(words, x), map(words, y)):
-        out.append((p & q).total() / max(p.total(), q.total()))
-    return np.array(out, float)
+    return both.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).mapInPandas(run, "a bigint, b bigint, overlap double")
 
 
 def similar_representatives(docs: DataFrame, *, key: str = "pmid", title: str = "title", abstract: str = "abstract", min_words: int = 40, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -318,11 +290,9 @@ def similar_representatives(docs: DataFrame, *, key: str = "pmid", title: str =
     reps = copies.select(F.col("rep").alias("id")).distinct()
     long = texts.join(F.broadcast(reps) if few else reps, "id", "left_semi").filter(F.size(F.split(strip(v), f"{WS}+")) >= min_words).select(F.col("id").alias("rep")).distinct()
     copies = checkpointed(copies.join(long, "rep", "left_semi"))
-    bands = firsts.mapInPandas(_bands(min_words), "bucket bigint, id bigint, extra bigint")
+    bands = firsts.mapInPandas(_bands(min_words), "bucket bigint, id bigint, extra bigint, more bigint")
     pairs = checkpointed(_candidates(bands, share))
-    # as many standard errors as leave one in a thousand
-    pairs = checkpointed(_compared(pairs, firsts, _register_rows, _likely(share), -3.0).select("a", "b"))
-    return _compared(pairs, firsts, _text_rows, _overlap, share).withColumnRenamed("value", "overlap"), copies
+    return _verified(pairs, firsts, share), copies
 
 
 def expanded(pairs: DataFrame, copies: DataFrame, *, key: str = "pmid") -> DataFrame:

@@ -5,12 +5,13 @@ characters are dropped, and letters or signs that can't be told apart get one pr
 scripts. For each token (a run of letters, marks and joining signs) the sets of scripts that its looks allow are
 intersected:
 
-* the intersection holds the script that the token is in anyway: it stays (single script);
-* it holds other scripts only, or the token mixes scripts: it is spelt in the first of Latin, Cyrillic, Greek that can
-  spell all of it (mixed-script and whole-script confusables, so that equal looks get equal spellings);
+* it holds scripts: the token is spelt in the first of them in the order of SCRIPTS (a single-script token stays as it
+  is unless another script can spell all of it: a whole-script confusable);
 * it is empty: every look is spelt in the first script that has it.
 
 The spelling is a function of the looks alone. So two texts have the same form exactly if they have the same looks.
+script_kind tells single, mixed and whole-script tokens apart. Characters are exchanged by one table per worker, tokens
+are looked at only if they aren't plain ASCII then.
 """
 
 from __future__ import annotations
@@ -26,56 +27,21 @@ from pyspark.sql import functions as F
 
 from corpusmill.session import checkpointed
 
-# Letters that look alike, by script; a line is one look, "" where a script doesn't have it.
+SCRIPTS = ("Latin", "Cyrillic", "Greek", "Armenian", "Cherokee", "Lisu")
+
+# Letters that look alike, a line per script: each letter stands under what it looks like in the first line,
+# "." where a script has none.
 LETTERS = [
-    # Latin, Cyrillic, Greek
-    ("A", "А", "Α"),
-    ("B", "В", "Β"),
-    ("C", "С", "Ϲ"),
-    ("E", "Е", "Ε"),
-    ("F", "", "Ϝ"),
-    ("G", "Ԍ", ""),
-    ("H", "Н", "Η"),
-    ("I", "І", "Ι"),
-    ("J", "Ј", "Ϳ"),
-    ("K", "К", "Κ"),
-    ("M", "М", "Μ"),
-    ("N", "", "Ν"),
-    ("O", "О", "Ο"),
-    ("P", "Р", "Ρ"),
-    ("Q", "Ԛ", ""),
-    ("S", "Ѕ", ""),
-    ("T", "Т", "Τ"),
-    ("V", "Ѵ", ""),
-    ("W", "Ԝ", ""),
-    ("X", "Х", "Χ"),
-    ("Y", "Ү", "Υ"),
-    ("Z", "", "Ζ"),
-    ("a", "а", "α"),
-    ("c", "с", "ϲ"),
-    ("d", "ԁ", ""),
-    ("e", "е", ""),
-    ("h", "һ", ""),
-    ("i", "і", "ι"),
-    ("j", "ј", "ϳ"),
-    ("l", "ӏ", ""),
-    ("o", "о", "ο"),
-    ("p", "р", "ρ"),
-    ("q", "ԛ", ""),
-    ("s", "ѕ", ""),
-    ("u", "", "υ"),
-    ("v", "ѵ", "ν"),
-    ("w", "ԝ", ""),
-    ("x", "х", ""),
-    ("y", "у", ""),
-    ("", "Г", "Γ"),
-    ("", "П", "Π"),
-    ("", "Ф", "Φ"),
-    ("ä", "ӓ", ""),
-    ("ë", "ё", ""),
-    ("ï", "ї", "ϊ"),
-    ("ö", "ӧ", ""),
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyzäëïö",
+    "АВС.Е.ԌНІЈК.М.ОРԚ.ЅТ.ѴԜХҮ.а.сԁе..һіј.ӏ..орԛ.ѕ..ѵԝху.ӓёїӧ",
+    "ΑΒϹ.ΕϜ.ΗΙͿΚ.ΜΝΟΡ...Τ...ΧΥΖα.ϲ.....ιϳ....ορ....υν......ϊ.",
+    "...........Լ..Օ...Տ.Ս...........ցհ.յ...ոօ.զ...ս.........",
+    "ᎪᏴᏟᎠᎬ.ᏀᎻ.ᎫᏦᏞᎷ..Ꮲ.ᎡᏚᎢ.ᏙᎳ..Ꮓ..............................",
+    "ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑ.ꓣꓢꓔꓴꓦꓪꓫꓬꓜ..............................",
 ]
+#: Letters that look alike in scripts other than Latin only.
+NOT_LATIN = ["...", "ГПФ", "ΓΠΦ"]
+
 
 # Signs that look alike; the first of each is the form.
 SIGNS = [
@@ -106,14 +72,25 @@ _SAME_LOOK = ("<wide>", "<narrow>", "<compat>", "<noBreak>", "<font>", "<initial
 #: Code points without any look, as ranges: soft hyphen, joiners and marks of direction, variation selectors, fillers, tags.
 _INVISIBLE = [(0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFF8), (0x1BCA0, 0x1BCA3), (0x1D173, 0x1D17A), (0xE0000, 0xE0FFF)]
 
-_SCRIPTS = ("Latin", "Cyrillic", "Greek")
-_LOOK = {c: i for i, row in enumerate(LETTERS) for c in row if c}
-_SPELL = {(i, s): row[k] for i, row in enumerate(LETTERS) for k, s in enumerate(_SCRIPTS) if row[k]}
+_ROWS = [tuple(c if c != "." else "" for c in column) for columns in (zip(*LETTERS, strict=True), zip(*NOT_LATIN, strict=True)) for column in columns]
+_LOOK = {c: i for i, row in enumerate(_ROWS) for c in row if c}
+_SPELL = {(i, s): c for i, row in enumerate(_ROWS) for s, c in zip(SCRIPTS, row) if c}
 _SIGN = {c: row[0] for row in SIGNS for c in row[1:]}
-_WORD = re.compile(r"[^\W\d_]+")
+# a token: letters, and the accents on them that have no composed form
+_WORD = re.compile("[^\\W\\d_]+(?:[\u0300-\u036f\u0483-\u0489\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff]+[^\\W\\d_]*)*")
+
+
+class _Plain(dict):
+    """For str.translate: code points and what stands for them, found once each."""
+
+    def __missing__(self, cp: int) -> str:
+        self[cp] = found = _plain(chr(cp))
+        return found
+
+
+_TABLE = _Plain()
 
 
-@lru_cache(maxsize=100_000)
 def _plain(ch: str) -> str:
     """A character without what doesn't change its look, apart from look-alike letters."""
     cp = ord(ch)
@@ -136,36 +113,36 @@ def _plain(ch: str) -> str:
 @lru_cache(maxsize=100_000)
 def _script(ch: str) -> str:
     name = unicodedata.name(ch, "")
-    return next((s for s in _SCRIPTS if name.startswith(s.upper())), "Common" if not ch.isalpha() else "Other")
+    return next((s for s in SCRIPTS if name.startswith(s.upper())), "Common" if not ch.isalpha() else "Other")
 
 
 @lru_cache(maxsize=200_000)
 def _spelling(token: str) -> str:
     """A token of letters in its one spelling."""
     looks = [_LOOK.get(c) for c in token]
-    allowed = set(_SCRIPTS)
+    allowed = set(SCRIPTS)
     for c, look in zip(token, looks):
         if look is not None:
-            allowed &= {s for s in _SCRIPTS if (look, s) in _SPELL}
-        elif (own := _script(c)) in _SCRIPTS:
+            allowed &= {s for s in SCRIPTS if (look, s) in _SPELL}
+        elif (own := _script(c)) in SCRIPTS:
             allowed &= {own}
-    order = [s for s in _SCRIPTS if s in allowed] or list(_SCRIPTS)
-    return "".join(c if look is None else next(_SPELL[look, s] for s in (*order, *_SCRIPTS) if (look, s) in _SPELL) for c, look in zip(token, looks))
+    order = [s for s in SCRIPTS if s in allowed] or list(SCRIPTS)
+    return "".join(c if look is None else next(_SPELL[look, s] for s in (*order, *SCRIPTS) if (look, s) in _SPELL) for c, look in zip(token, looks))
 
 
 def script_kind(token: str) -> str:
     """single, mixed or whole (written in one script but spellable in another): what a check of scripts says of a token."""
-    own = {_script(c) for c in token} & set(_SCRIPTS)
+    own = {_script(c) for c in token} & set(SCRIPTS)
     if len(own) > 1:
         return "mixed"
-    return "whole" if own and own != {"Latin"} and _spelling(token) != token else "single"
+    return "whole" if own and own != {"Latin"} and _token(token) != token else "single"
 
 
 def normalize(text: str) -> str:
     """The one form of all texts that look like this one. Case, accents, raised digits and line breaks stay."""
     if text.isascii():
         return text
-    plain = unicodedata.normalize("NFC", "".join(map(_plain, text)))
+    plain = unicodedata.normalize("NFC", text.translate(_TABLE))
     if plain.isascii():
         return plain
     # composed letters may hide look-alikes (an accent on a Cyrillic base), so the letters are compared decomposed
@@ -224,3 +201,33 @@ def look_alikes(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> Da
     side = lambda t, k: kept.select("look_id", F.col("text_id").alias(t), F.col(key).alias(k))
     both = met.join(side("ta", "x"), ["look_id", "ta"]).join(side("tb", "y"), ["look_id", "tb"]).filter(F.col("x") != F.col("y"))
     return both.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b")).distinct()
+
+
+def look_groups(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, look (the least key with the same look), members, spellings and links of all texts that aren't blank.
+
+    members are the rows of a look, spellings its different texts and links the members that are spelt in another way.
+    Spellings are counted before they are joined back, so that a look with a third of all rows is one row there.
+    """
+    rows = checkpointed(look_classes(df, key=key, text=text))
+    ways = rows.groupBy("look_id", "text_id").agg(F.count("*").alias("same"), F.min(key).alias("least"))
+    looks = ways.groupBy("look_id").agg(F.min("least").alias("look"), F.sum("same").alias("members"), F.count("*").alias("spellings"))
+    out = rows.join(ways.drop("least"), ["look_id", "text_id"]).join(looks, "look_id")
+    return out.select(key, "look", "members", "spellings", (F.col("members") - F.col("same")).alias("links"))
+
+
+def script_tokens(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, mixed and whole: how many tokens of a text mix scripts, or are written in one script but spellable in another.
+
+    Texts without such tokens give no row.
+    """
+
+    @F.pandas_udf("mixed int, whole int")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            kinds = [[script_kind(t) for t in _WORD.findall(unicodedata.normalize("NFC", x.translate(_TABLE))) if not t.isascii()] for x in texts]
+            yield pd.DataFrame({k: [found.count(k) for found in kinds] for k in ("mixed", "whole")})
+
+    rows = df.select(df[key].alias("key"), df[text].alias("text")).filter(F.col("text").rlike(r"[^\x00-\x7f]"))
+    found = rows.select("key", run("text").alias("n")).select(F.col("key").alias(key), "n.mixed", "n.whole")
+    return found.filter((F.col("mixed") > 0) | (F.col("whole") > 0))

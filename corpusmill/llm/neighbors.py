@@ -3,9 +3,11 @@
 The trees are fitted on a bounded sample and split the space by hyperplanes between two random, refined centres. Every
 vector lies in one leaf of each tree, and visits further leaves: the branches that it missed by the smallest margin,
 taken from one priority queue over all trees. A leaf is one task's block: its vectors are compared with each other and
-with its visitors by matrix products, and the best candidates are reranked exactly. Lists of the few visits of a vector
-are merged by its id. Leaves hold a bounded number of vectors however many there are, since their number follows the
-table; equal vectors, which no hyperplane can part, are compared once and expanded afterwards.
+with its visitors by matrix products. Lists of the few visits of a vector are merged by its id, and reranked exactly:
+vectors travel to the leaves in 16-bit steps, so where the order at the end of a list hangs on less than these steps can
+tell, the original vectors are read again and decide. Leaves hold a bounded number of vectors however many there are,
+since their number follows the table; where the sample can't tell so many leaves apart, a leaf's vectors are cut into
+blocks. Equal vectors, which no hyperplane can part, are compared once and expanded afterwards.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from corpusmill.session import checkpointed
 
 #: Rows up to which a list of ids is broadcast (16 bytes each).
 _BROADCAST_ROWS = 500_000
+#: Candidates beyond the k best that a list keeps for the exact ranking, and twice the largest error of a packed cosine.
+_MARGIN, _UNSURE = 4, 1.5e-4
 
 
 @dataclass(frozen=True)
@@ -79,6 +83,12 @@ class Forest:
         return node, np.stack(costs, 1), np.stack(branches, 1)
 
 
+    def shares(self, sample: np.ndarray) -> np.ndarray:
+        """The part of the sample in each node that is a leaf."""
+        home, _ = self.leaves(sample, 0)
+        return np.bincount(home.ravel(), minlength=len(self.left)) / max(1, len(sample))
+
+
 def fit_forest(sample: np.ndarray, leaf_share: float, trees: int, seed: int = 7) -> Forest:
     """Trees over unit vectors, with leaves of at most leaf_share of the sample (4 vectors at least)."""
     rng = np.random.default_rng(seed)
@@ -204,7 +214,7 @@ def _in_leaf(table: pa.Table, k: int) -> pa.Table:
         for a in range(0, len(ids), 512):
             b = min(a + 512, len(ids))
             at = data[_best(x[a:b], here, len(data), home[a:b], k + 2)]
-            # exact: whole numbers below 2**53, and the product of two steps doesn't depend on their order
+            # exact for the packed vectors: whole numbers below 2**53, and the product of two steps doesn't depend on their order
             dots = np.einsum("ij,ikj->ik", q[a:b].astype(np.float64), q[at].astype(np.float64))
             score = dots * (step[a:b, None] * step[at])
             score[at == np.arange(a, b)[:, None]] = -np.inf
@@ -222,6 +232,36 @@ def _in_leaf(table: pa.Table, k: int) -> pa.Table:
     )
 
 
+def _reranked(merged: DataFrame, source: DataFrame, k: int, dim: int) -> DataFrame:
+    """id and c, the k best of each list (away, near): where packed cosines leave open who is among them, by the originals.
+
+    Only candidates whose cosines lie about the k-th are compared again, and only in lists that have such a candidate
+    beyond the k-th. A list that is shorter has nothing to decide.
+    """
+    last, after = F.element_at("c", k)["away"], F.element_at("c", k + 1)["away"]
+    wide = merged.withColumn("last", F.when(F.size("c") > k, last)).withColumn("open", F.coalesce(F.when(F.size("c") > k, after - last <= _UNSURE), F.lit(False)))
+    doubt = wide.filter("open").select("id", F.explode(F.filter("c", lambda x: F.abs(x["away"] - F.col("last")) <= _UNSURE)).alias("x")).select("id", "x.near")
+    doubt = checkpointed(doubt)
+    wanted = doubt.select(F.explode(F.array("id", "near")).alias("id")).distinct()
+    few = doubt.count() <= _BROADCAST_ROWS // 2
+    held = checkpointed(source.join(F.broadcast(wanted) if few else wanted, "id", "left_semi").groupBy("id").agg(F.first("vector").alias("vector")))
+
+    def cosine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (at, x), (also, y) = _usable(batch["x"], dim), _usable(batch["y"], dim)
+            both, i, j = np.intersect1d(at, also, assume_unique=True, return_indices=True)
+            rows = pa.array(both)
+            yield pa.RecordBatch.from_arrays([batch["id"].take(rows), batch["near"].take(rows), pa.array(-(x[i] * y[j]).sum(1))], ["id", "near", "exact"])
+
+    pairs = doubt.join(held.withColumnRenamed("vector", "x"), "id").join(held.select(F.col("id").alias("near"), F.col("vector").alias("y")), "near").select("id", "near", "x", "y")
+    exact = pairs.mapInArrow(cosine, "id bigint, near bigint, exact double").groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.round("exact", 12).alias("exact"), "near"))).alias("decided"))
+    joined = wide.join(exact, "id", "left")
+    sure = F.filter("c", lambda x: x["away"] < F.col("last") - _UNSURE)
+    chosen = F.slice(F.transform("decided", lambda e: e["near"]), F.lit(1), F.lit(k) - F.size(sure))
+    kept = F.array_sort(F.concat(sure, F.filter("c", lambda x: F.array_contains(chosen, x["near"]))))
+    return joined.select("id", F.when(F.col("decided").isNull(), F.slice("c", 1, k)).otherwise(kept).alias("c"))
+
+
 def nearest(
     vectors: DataFrame, members: DataFrame, *, k: int = 10, key: str = "pmid", vector: str = "embedding", dim: int = 64,
     trees: int = 2, visits: int = 2, leaf: int = 12_000, sample: int = 50_000, seed: int = 7,
@@ -230,10 +270,11 @@ def nearest(
 
     Usable is a vector of dim numbers without null, NaN or infinity that isn't all zeros; its length doesn't count.
     Repeated rows count once; of different vectors under one key one is taken. Equal cosines are ordered by key. Null
-    keys take no part. With k or fewer others all of them come out; an empty table gives no rows.
+    keys take no part. With k or fewer others all of them come out; an empty table gives no rows. The scores are those of
+    the packed vectors, to four digits; ranks within the list go by them, while who is in the list goes by the originals.
 
-    leaf is the largest number of vectors per leaf and sample the number of vectors that the trees are fitted on: both
-    bound what one task and the driver hold. Recall rises with trees, visits and leaf.
+    leaf is the largest number of vectors per block and sample the number of vectors, about, that the trees are fitted
+    on: both bound what one task and the driver hold. Recall rises with trees, visits and leaf.
     """
     members = members.select(F.col(key).cast("bigint").alias("id")).filter(F.col("id").isNotNull()).distinct()
     source = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("vector")).filter(F.col("id").isNotNull() & F.col("vector").isNotNull())
@@ -256,10 +297,21 @@ def nearest(
     size = one.count() - apart.count()
     used = source.join(F.broadcast(apart) if apart.count() <= _BROADCAST_ROWS else apart, "id", "left_anti")
 
-    rate = min(1.0, 1.2 * sample / max(1, size))
-    picked = used.sample(rate, seed).limit(sample).select("vector").toArrow()
+    # from all partitions alike, without a limit that would prefer the first ones
+    picked = used.sample(min(1.0, sample / max(1, size)), seed).select("vector").toArrow()
     _, points = _usable(picked["vector"], dim)
-    forest = fit_forest(points.astype(np.float32), leaf / max(1, size), trees, seed) if len(points) else None
+    # a single leaf is the whole table: one tree and no visits compare everything with everything
+    whole = size <= leaf
+    trees, visits = (1, 0) if whole else (trees, visits)
+    forest = fit_forest(points.astype(np.float32), 1.0 if whole else leaf / max(1, size), trees, seed) if len(points) else None
+    if forest is None:
+        blocks = np.ones(1, int)
+    elif whole:
+        # for the sake of several tasks: each compares all vectors with a part of them
+        blocks = np.full(1, -(-size // 3000))
+    else:
+        # leaves that the sample can't split any further
+        blocks = np.maximum(1, np.ceil(forest.shares(points.astype(np.float32)) * size / (2 * leaf))).astype(int)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,18 +320,25 @@ def nearest(
                 continue
             ids, raw = batch["id"].to_numpy()[at], np.array(_pack(x), object)
             home, visit = forest.leaves(x.astype(np.float32), visits)
+            part = np.abs(ids) % np.iinfo(np.int32).max
             for leaves, visitor in ((home, False), (visit, True)):
                 for c in range(leaves.shape[1]):
-                    real = leaves[:, c] >= 0
+                    real = np.flatnonzero(leaves[:, c] >= 0)
+                    many = blocks[leaves[real, c]]
+                    # into each block of the leaf, in one of them as a member and in the others as a visitor
+                    row = np.repeat(real, many)
+                    block = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                    away = (part[row] % np.repeat(many, many) != block) | visitor
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(leaves[real, c], pa.int32()), pa.array(ids[real]), pa.array(np.full(real.sum(), visitor)), pa.array(raw[real].tolist(), pa.binary())],
-                        ["leaf", "id", "visitor", "vector"],
+                        [pa.array(leaves[row, c], pa.int32()), pa.array(block, pa.int32()), pa.array(ids[row]), pa.array(away), pa.array(raw[row].tolist(), pa.binary())],
+                        ["leaf", "block", "id", "visitor", "vector"],
                     )
 
-    placed = used.mapInArrow(assign, "leaf int, id bigint, visitor boolean, vector binary")
-    lists = placed.groupBy("leaf").applyInArrow(lambda t: _in_leaf(t, k), "id bigint, near array<bigint>, away array<float>")
+    placed = used.mapInArrow(assign, "leaf int, block int, id bigint, visitor boolean, vector binary")
+    lists = placed.groupBy("leaf", "block").applyInArrow(lambda t: _in_leaf(t, k + _MARGIN), "id bigint, near array<bigint>, away array<float>")
     # a vector has a list per visit, a bounded number
-    merged = lists.groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("away", "near"))))), 1, k).alias("c"))
+    merged = lists.groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("away", "near"))))), 1, k + _MARGIN).alias("c"))
+    merged = _reranked(checkpointed(merged), used, k, dim)
 
     # back to all keys, in one pass over the lists: a neighbour stands for the k least keys with its vector, and a list
     # goes to every key that has the vector, after those keys themselves
@@ -294,7 +353,7 @@ def nearest(
     every = spread.select(F.coalesce("copy", "id").alias("id"), F.concat(own, "c").alias("c"))
     every = every.select("id", F.slice(F.array_sort(F.filter("c", lambda c: c["near"] != F.col("id"))), 1, k).alias("c"))
     out = every.select("id", F.posexplode("c").alias("n", "c"))
-    return out.select(F.col("id").alias(key), F.col("c.near").alias("near"), (F.col("n") + 1).alias("rank"), F.round(-F.col("c.away").cast("double"), 6).alias("score"))
+    return out.select(F.col("id").alias(key), F.col("c.near").alias("near"), (F.col("n") + 1).alias("rank"), F.round(-F.col("c.away").cast("double"), 4).alias("score"))
 
 
 def pairs(neighbours: DataFrame, *, key: str = "pmid") -> DataFrame:

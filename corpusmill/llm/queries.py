@@ -64,6 +64,14 @@ def p9_normalized(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.normalized(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "form")
 
 
+def p9_groups(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.look_groups(table(spark, d, "documents"))
+
+
+def p9_scripts(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.script_tokens(table(spark, d, "documents"))
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_groups": p3_groups,
@@ -78,6 +86,8 @@ QUERIES = {
     "p8_fill": p8_fill,
     "p9_found": p9_found,
     "p9_normalized": p9_normalized,
+    "p9_groups": p9_groups,
+    "p9_scripts": p9_scripts,
 }
 
 ORACLES: dict[str, str] = {}

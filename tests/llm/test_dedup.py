@@ -81,7 +81,7 @@ def test_recall_near_the_share_in_ordinary_text(spark, edits):
 
 def test_large_buckets_are_split(spark, monkeypatch):
     rows = [(i, f"b{i % 3}", i * 7) for i in range(200)] + [(i, "alone" + str(i), 0) for i in range(20)]
-    bands = spark.createDataFrame([(hash(b) & 0xFFFF, i, e) for i, b, e in rows], "bucket bigint, id bigint, extra bigint")
+    bands = spark.createDataFrame([(hash(b) & 0xFFFF, i, e, e) for i, b, e in rows], "bucket bigint, id bigint, extra bigint, more bigint")
     met = lambda: sorted((min(r.a, r.b), max(r.a, r.b)) for r in dedup._meetings(bands, lambda m: m.select("a", "b")).collect())
     whole = met()
     monkeypatch.setattr(dedup, "_BLOCK", 9)
