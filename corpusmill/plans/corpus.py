@@ -10,12 +10,15 @@ from corpusmill.embedding import HashingEmbedder, embed
 from corpusmill.functions import text
 from corpusmill.operators import changes, ivf, knn, pending, stats
 from corpusmill.plans.tables import table
+from corpusmill.session import checkpointed
 from corpusmill.sources import listing
 
 #: Every row whose id is divisible by this is a query of the search queries.
 EVERY = 20
 K = 10
 SHARDS = 3
+#: Length of the given vectors.
+DIM = 64
 
 
 def _articles(spark: SparkSession, d: str) -> DataFrame:
@@ -165,11 +168,27 @@ def ivf_all_cells(spark: SparkSession, d: str) -> DataFrame:
     return ivf.search(ivf.assign(v, c), c, _queries(v), K, len(c))
 
 
+def _unit_vectors(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "article_vectors").filter(F.col("pmid").isNotNull() & (F.size("embedding") == DIM)).distinct()
+    n = knn.norm("embedding")
+    return v.filter((n > 0) & ~F.isnan(n)).select("pmid", knn.normalized("embedding").alias("embedding"))
+
+
 def ivf_article_search(spark: SparkSession, d: str) -> DataFrame:
-    """Approximate search over the article vectors, with the default number of cells and probes."""
-    v = table(spark, d, "article_vectors").distinct()
-    c = ivf.fit(v)
-    return ivf.search(ivf.assign(v, c), c, _queries(v), K, ivf.Params().probes)
+    """Approximate search over the directions of the article vectors, with cells and probes that follow the data."""
+    v = checkpointed(_unit_vectors(spark, d))
+    c, probes = ivf.build(v)
+    return ivf.search(checkpointed(ivf.assign(v, c)), c, _queries(v), K, probes)
+
+
+def ivf_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the approximate search finds at least 0.95 of what the exact one finds."""
+    v = checkpointed(_unit_vectors(spark, d))
+    c, probes = ivf.build(v)
+    found = ivf.search(checkpointed(ivf.assign(v, c)), c, _queries(v), K, probes).select("qid", "pmid", F.lit(1).alias("found"))
+    exact = knn.top_k(v, _queries(v), K)
+    both = exact.join(found, ["qid", "pmid"], "left")
+    return both.agg(F.count_distinct("qid").alias("queries"), F.count("*").alias("wanted"), (F.count("found") >= 0.95 * F.count("*")).alias("reached"))
 
 
 def shard_union(spark: SparkSession, d: str) -> DataFrame:
@@ -222,6 +241,7 @@ QUERIES = {
     "knn_hydrated": knn_hydrated,
     "ivf_all_cells": ivf_all_cells,
     "ivf_article_search": ivf_article_search,
+    "ivf_recall": ivf_recall,
     "shard_union": shard_union,
     "embedded_articles": embedded_articles,
     "search_hits": search_hits,
@@ -284,5 +304,9 @@ ORACLES = {
     "knn_without_self": _KNN.format("and q.vec_id <> e.vec_id"),
     "knn_hydrated": f"""select k.qid, k.pmid, k.rank, k.score, split_part(d.text, chr(10), 1) title, d.source journal from ({_KNN.format("")}) k left join documents d on d.doc_id = k.pmid""",
     "ivf_all_cells": _KNN.format(""),
+    "ivf_recall": """with v as (select distinct pmid, embedding from article_vectors where pmid is not null and len(embedding) = 64
+        and not list_bool_or(list_transform(embedding, x -> x is null or isnan(x))) and list_inner_product(embedding::double[], embedding::double[]) > 0),
+      q as (select pmid, count(*) c from v where pmid % 20 = 0 group by 1)
+      select count(*) queries, coalesce(sum(least(10, (select count(*) from v))), 0)::bigint wanted, true reached from q""",
     "shard_union": "select vec_id pmid, len(embedding)::int dim from embeddings",
 }

@@ -63,10 +63,10 @@ def build_index(spark: SparkSession, store: VectorStore, index_root: str, params
     if table.exists() and not force:
         raise FileExistsError(f"{index_root} exists; force replaces it")
     vectors, known = store.read(), store.properties()
-    centroids = ivf.fit(vectors, params)
+    centroids, probes = ivf.build(vectors, params)
     m = table.overwrite(
         ivf.assign(vectors, centroids),
-        {"built_from_dim": known["dim"], "built_from_ntotal": known["ntotal"], "probes": params.probes, "cells": len(centroids), "centroids": json.dumps(centroids.tolist())},
+        {"built_from_dim": known["dim"], "built_from_ntotal": known["ntotal"], "probes": probes, "cells": len(centroids), "centroids": json.dumps(centroids.tolist())},
         partition_by=["cell"],
     )
     store.commit(store.manifest()["parts"], {"query_index_type": "ivf"})
@@ -79,7 +79,7 @@ def hits(spark: SparkSession, vectors: DataFrame, articles: DataFrame, query: Se
     With centroids vectors are those of the index, of which only the nearest cells are read.
     """
     q = spark.createDataFrame([(0, [float(x) for x in query])], "qid int, embedding array<double>").withColumn("embedding", knn.normalized("embedding"))
-    found = knn.top_k(vectors, q, k) if centroids is None else ivf.search(vectors, centroids, q, k, probes or ivf.Params().probes)
+    found = knn.top_k(vectors, q, k) if centroids is None else ivf.search(vectors, centroids, q, k, probes or len(centroids))
     # k rows, however many vectors and articles there are; written once, since two joins read them
     few = F.broadcast(checkpointed(found.drop("qid")))
     known = articles.join(few.select("pmid"), "pmid", "left_semi")
