@@ -44,6 +44,8 @@ _SHORT = r"(?:no|nos|vs|cf|al|fig|figs|eq|ref|refs|vol|pp|dr|st|approx|ca|e\.g|i
 _NO_END = re.compile(rf"^\W*{_SHORT}\.$", re.I)
 #: Ends of a text whose stop ends no sentence: after an open bracket, or after an abbreviation that is followed by something.
 _OPEN_STOP = r"[(\[][^()\[\]]{0,400}[.!?]$|(?i)(?:^|[\s(\[])(?:vs|cf|figs?|eq|refs?|vol|pp|approx|ca|e\.g|i\.e)\.$"
+#: Characters at the end of a text that marks and open stops can span.
+_TAIL = 600
 _END = re.compile(r"""[.!?]["'»”’)\]]*$""")
 
 
@@ -181,10 +183,12 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     texts = df.select(F.col(key).alias("id"), rstrip(text).alias("text")).filter(v.isNotNull() & (v != ""))
     stem = F.rtrim(v, F.lit(CLOSERS))
     dots = stem.endswith("...") | stem.endswith("…")
-    open_end = texts.filter(dots | ~F.right(stem, F.lit(1)).isin(*STOPS) | v.rlike(MARK) | v.rlike(_OPEN_STOP))
+    # what these patterns can match is at the end and shorter than that
+    tail = F.right(v, F.lit(_TAIL))
+    open_end = texts.filter(dots | ~F.right(stem, F.lit(1)).isin(*STOPS) | tail.rlike(MARK) | tail.rlike(_OPEN_STOP))
     # values of few words count if they carry a mark and aren't p4's
     short = is_short(v, Limits().few_words)
-    marked = dots | v.rlike(MARK)
+    marked = dots | tail.rlike(MARK)
     open_end = open_end.filter(~short | (marked & ~closed_form(v, short)))
     open_end = checkpointed(open_end.select("id", "text", marked.alias("mark"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("same")))
     kind = dict(open_end.dtypes)["id"]
