@@ -24,8 +24,9 @@ from corpusmill.session import checkpointed
 
 #: Rows up to which a list of ids is broadcast (16 bytes each).
 _BROADCAST_ROWS = 500_000
-#: Candidates beyond the k best that a list keeps for the exact ranking, and twice the largest error of a packed cosine.
-_MARGIN, _UNSURE = 4, 1.5e-4
+#: Candidates beyond the k best that a list keeps for the exact ranking, and the difference of packed cosines up to which
+#: it decides: six standard deviations of what packing does to a difference.
+_MARGIN, _UNSURE = 2, 4e-5
 
 
 @dataclass(frozen=True)
@@ -206,30 +207,58 @@ def _in_leaf(table: pa.Table, k: int) -> pa.Table:
     ids, visitor, step, q = ids[order], visitor[order], step[order], q[order]
     x = (q * step[:, None]).astype(np.float32)
     data = np.flatnonzero(~visitor)
-    near, away, many = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)], [np.zeros(1, np.int32)]
+    out = []
     if len(data):
         here, home = np.zeros((-(-len(data) // _WIDTH) * _WIDTH, x.shape[1]), np.float32), np.full(len(ids), -1)
         here[: len(data)] = x[data]
         home[data] = np.arange(len(data))
         for a in range(0, len(ids), 512):
             b = min(a + 512, len(ids))
-            at = data[_best(x[a:b], here, len(data), home[a:b], k + 2)]
+            at = data[_best(x[a:b], here, len(data), home[a:b], k)]
             # exact for the packed vectors: whole numbers below 2**53, and the product of two steps doesn't depend on their order
             dots = np.einsum("ij,ikj->ik", q[a:b].astype(np.float64), q[at].astype(np.float64))
             score = dots * (step[a:b, None] * step[at])
             score[at == np.arange(a, b)[:, None]] = -np.inf
             by = np.lexsort((ids[at], -score), axis=1)[:, :k]
             score, at = np.take_along_axis(score, by, 1), np.take_along_axis(at, by, 1)
-            real = np.isfinite(score)  # a vector alone in its leaf gets an empty list
-            near.append(ids[at[real]])
-            away.append(-score[real].astype(np.float32))
-            many.append(real.sum(1).astype(np.int32))
+            out.append(_listed(ids[at], -score, k))
     else:
         ids = ids[:0]
-    cut = pa.array(np.cumsum(np.concatenate(many), dtype=np.int32))
-    return pa.table(
-        {"id": pa.array(ids), "near": pa.ListArray.from_arrays(cut, pa.array(np.concatenate(near))), "away": pa.ListArray.from_arrays(cut, pa.array(np.concatenate(away)))}
-    )
+    lists = [r.tobytes() for part in out for r in part]
+    return pa.table({"id": pa.array(ids), "list": pa.array(lists, pa.binary())})
+
+
+def _listed(near: np.ndarray, away: np.ndarray, k: int) -> np.ndarray:
+    """A row of bytes per list: all first bytes of the k ids, all second ones and so on, which pack better, then those of
+    the distances. Places that are left are infinitely far."""
+    ids, far = np.zeros((len(near), k), "<i8"), np.full((len(near), k), np.inf, "<f4")
+    ids[:, : near.shape[1]], far[:, : near.shape[1]] = near, away
+    planes = lambda x: x.view(np.uint8).reshape(len(x), k, -1).transpose(0, 2, 1).reshape(len(x), -1)
+    return np.hstack([planes(ids), planes(far)])
+
+
+def _merged(k: int):
+    """id, near and away of the k nearest in all lists of an id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch["lists"]
+            offsets = lists.offsets.to_numpy()
+            raw = np.frombuffer(b"".join(lists.flatten().to_pylist()), np.uint8).reshape(-1, 12 * k)
+            back = lambda x, kind: np.ascontiguousarray(x.reshape(len(x), -1, k).transpose(0, 2, 1)).view(kind).ravel()
+            near, away = back(raw[:, : 8 * k], "<i8"), back(raw[:, 8 * k :], "<f4")
+            row = np.repeat(np.repeat(np.arange(len(batch)), np.diff(offsets)), k)
+            real = np.flatnonzero(np.isfinite(away))
+            order = real[np.lexsort((near[real], away[real], row[real]))]
+            row, near, away = row[order], near[order], away[order]
+            # a neighbour that was met in several leaves has the same distance in all of them
+            new = np.append(True, (row[1:] != row[:-1]) | (near[1:] != near[:-1])) if len(row) else np.zeros(0, bool)
+            row, near, away = row[new], near[new], away[new]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+            cut = pa.array(np.searchsorted(row[keep], np.arange(len(batch) + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.ListArray.from_arrays(cut, pa.array(near[keep])), pa.ListArray.from_arrays(cut, pa.array(away[keep]))], ["id", "near", "away"])
+
+    return run
 
 
 def _reranked(merged: DataFrame, source: DataFrame, k: int, dim: int) -> DataFrame:
@@ -335,10 +364,10 @@ def nearest(
                     )
 
     placed = used.mapInArrow(assign, "leaf int, block int, id bigint, visitor boolean, vector binary")
-    lists = placed.groupBy("leaf", "block").applyInArrow(lambda t: _in_leaf(t, k + _MARGIN), "id bigint, near array<bigint>, away array<float>")
+    lists = placed.groupBy("leaf", "block").applyInArrow(lambda t: _in_leaf(t, k + _MARGIN), "id bigint, list binary")
     # a vector has a list per visit, a bounded number
-    merged = lists.groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("away", "near"))))), 1, k + _MARGIN).alias("c"))
-    merged = _reranked(checkpointed(merged), used, k, dim)
+    merged = lists.groupBy("id").agg(F.collect_list("list").alias("lists")).mapInArrow(_merged(k + _MARGIN), "id bigint, near array<bigint>, away array<float>")
+    merged = _reranked(checkpointed(merged).select("id", F.arrays_zip("away", "near").alias("c")), used, k, dim)
 
     # back to all keys, in one pass over the lists: a neighbour stands for the k least keys with its vector, and a list
     # goes to every key that has the vector, after those keys themselves

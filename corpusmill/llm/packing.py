@@ -153,3 +153,16 @@ def fill_report(packed: DataFrame, capacity: int) -> DataFrame:
     bins = packed.groupBy("bin_id").agg(F.sum("n_tokens").alias("used"))
     tokens: Column = F.sum("used")
     return bins.agg(F.count("*").alias("bins"), F.coalesce(tokens, F.lit(0)).alias("tokens"), F.coalesce(F.ceil(tokens / capacity), F.lit(0)).alias("lower_bound"), F.round(tokens / (F.count("*") * capacity), 6).alias("fill"))
+
+
+def unsound(sizes: DataFrame, capacity: int, *, key: str = "doc_id", size: str = "n_tokens") -> DataFrame:
+    """key, bin_id, n_tokens of what is wrong with the packing of these sizes: a container above the capacity (key null), or a
+    document whose pieces don't have its size, or that is split although it would fit (bin_id null). No rows if it is sound.
+    """
+    packed = checkpointed(pack(sizes, capacity, key=key, size=size))
+    none = F.lit(None).cast("bigint")
+    over = packed.groupBy("bin_id").agg(F.sum("n_tokens").alias("n_tokens")).filter(F.col("n_tokens") > capacity).select(none.alias(key), "bin_id", "n_tokens")
+    whole = sizes.filter(F.col(size) > 0).groupBy(key).agg(F.sum(size).alias("wanted"), F.count("*").alias("rows"), F.max(size).alias("largest"))
+    got = packed.groupBy(key).agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("pieces"))
+    wrong = whole.join(got, key, "full").filter(~F.col("wanted").eqNullSafe(F.col("n_tokens")) | ((F.col("largest") <= capacity) & (F.col("pieces") > F.col("rows"))))
+    return over.unionByName(wrong.select(F.col(key).cast("bigint").alias(key), none.alias("bin_id"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")))

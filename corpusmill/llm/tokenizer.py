@@ -271,6 +271,17 @@ def decode(ids: list[int], *, tokenizer_dir: str = DEFAULT_DIR, tokenizer_file:
     return b"".join(_bytes_of(f"{tokenizer_dir}/{tokenizer_file}")[i] for i in ids).decode("utf-8", "surrogatepass")
 
 
+def decoded(df: DataFrame, *, key: str = "doc_id", ids: str = "ids", tokenizer_dir: str = DEFAULT_DIR, tokenizer_file: str = DEFAULT_FILE) -> DataFrame:
+    """key and text of lists of ids."""
+    kind = dict(df.select(key).dtypes)[key]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({key: batch[key], "text": [decode(list(x), tokenizer_dir=tokenizer_dir, tokenizer_file=tokenizer_file) for x in batch[ids]]})
+
+    return df.select(key, ids).mapInPandas(run, f"`{key}` {kind}, text string")
+
+
 @lru_cache(maxsize=2)
 def _bytes_of(path: str) -> list[bytes]:
     ranks = load_ranks(path)
