@@ -1,4 +1,4 @@
-"""Command line: python -m corpusmill.cli ingest|profile|embed|index|query|benchmark ... under a data folder.
+"""Command line: python -m corpusmill.cli download|ingest|profile|embed|index|query|benchmark ... under a data folder.
 
 Exit codes: 0 done, 1 failed or nothing there, 2 wrong arguments, 130 stopped.
 """
@@ -18,19 +18,26 @@ from corpusmill import embedding, search
 from corpusmill.ingest import ingest
 from corpusmill.operators import ivf, stats
 from corpusmill.session import local_session
+from corpusmill.sources import remote
 from corpusmill.sources.listing import local_files
-from corpusmill.store import Table, VectorStore
+from corpusmill.store import KeyedTable, Table, VectorStore, merge_shards, shards
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="corpusmill", description=__doc__)
     p.add_argument("--data-dir", default="data")
     sub = p.add_subparsers(dest="command", required=True)
+    a = sub.add_parser("download", help="fetch the files that directory pages list")
+    a.add_argument("--url", action="append", required=True)
+    a.add_argument("--limit", type=int)
+    a.add_argument("--force", action="store_true")
+    a.add_argument("--workers", type=int, default=8)
     a = sub.add_parser("ingest", help="take files of changes into the article table")
     a.add_argument("--files", nargs="*")
     a.add_argument("--no-resume", action="store_true")
     a.add_argument("--delete-scope", choices=("first", "all"), default="first")
     a.add_argument("--on-corrupt", choices=("fail", "quarantine"), default="fail")
+    a.add_argument("--refetch-url", action="append", help="directories that corrupt files are fetched from again, in this order")
     a = sub.add_parser("profile", help="counts, years and words of the articles")
     a.add_argument("--out-dir")
     a.add_argument("--word-bins", type=int, default=30)
@@ -45,9 +52,12 @@ def _parser() -> argparse.ArgumentParser:
             a.add_argument("--shard-id", type=int)
             a.add_argument("--num-shards", type=int)
             a.add_argument("--checkpoint-every", type=int)
+            a.add_argument("--workers", type=int, default=1, help="shards that are embedded at the same time")
+            a.add_argument("--no-auto-merge", action="store_true")
+            a.add_argument("--merge-shards", action="store_true", help="only bring the shards' vectors together")
         if name == "index":
-            a.add_argument("--cells", type=int, default=ivf.Params.cells)
-            a.add_argument("--probes", type=int, default=ivf.Params.probes)
+            a.add_argument("--cells", type=int, help="by default as many as the vectors need")
+            a.add_argument("--probes", type=int, help="by default as many as reach the recall")
             a.add_argument("--force", action="store_true")
         if name == "query":
             a.add_argument("query", nargs="+")
@@ -97,6 +107,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             if a.shard_id is None or a.num_shards is None or not 0 <= a.shard_id < a.num_shards:
                 raise ValueError("--shard-id and --num-shards go together, 0 <= id < number")
             shard = a.shard_id, a.num_shards
+        if a.command == "embed" and (a.workers < 1 or (a.workers > 1 and shard)):
+            raise ValueError("--workers is 1 at least, and 1 with --shard-id")
         params = ivf.Params(a.cells, a.probes) if a.command == "index" else None
         if a.command == "query" and not " ".join(a.query).strip():
             raise ValueError("the query is blank")
@@ -107,24 +119,25 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if a.command == "benchmark":
             return _benchmark(make(0), a)
         spark = spark or local_session()
-        articles = Table(spark, str(root / "articles"))
+        articles = KeyedTable(spark, str(root / "articles"), "pmid")
+        if a.command == "download":
+            root.mkdir(parents=True, exist_ok=True)
+            done = remote.download(remote.listed(spark, a.url), str(root), force=a.force, workers=max(1, a.workers), limit=a.limit)
+            print(vars(done))
+            return 1 if done.failed else 0
         if a.command == "ingest":
             files = a.files if a.files is not None else local_files(str(root))
             if not files:
                 say("no files")
                 return 1
-            print(ingest(spark, str(root), files, resume=not a.no_resume, delete_scope=a.delete_scope, on_corrupt=a.on_corrupt))
+            print(ingest(spark, str(root), files, resume=not a.no_resume, delete_scope=a.delete_scope, on_corrupt=a.on_corrupt, refetch=remote.refetcher(a.refetch_url) if a.refetch_url else None))
             return 0
         if a.command == "profile":
             return _profile(articles, root, a)
         place = root / "vectors" / embedding.slug(a.model)
         store, index = VectorStore(spark, str(place)), str(root / "index" / embedding.slug(a.model))
         if a.command == "embed":
-            stop = embedding.StopOnSignal()
-            every = a.checkpoint_every or (embedding.CHUNK_SINGLE if a.source == "ollama" else embedding.CHUNK_BATCHED)
-            n = embedding.embed_pending(articles.read(), store, make, source=a.source, model=a.model, chunk=every, limit=a.limit, shard=shard, stop=stop)
-            print(f"embedded {n}")
-            return 130 if stop.seen else 0
+            return _embed(spark, articles, store, make, shard, a)
         if a.command == "index":
             m = search.build_index(spark, store, index, params, force=a.force)
             print({k: v for k, v in m["properties"].items() if k != "centroids"})
@@ -139,6 +152,33 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 1
 
 
+def _embed(spark: SparkSession, articles: Table, store: VectorStore, make, shard: tuple[int, int] | None, a: argparse.Namespace) -> int:
+    parts, model = f"{store.root}/{embedding.SHARDS}", {"embedding_source": a.source, "model": a.model}
+    if not a.merge_shards:
+        stop = embedding.StopOnSignal()
+        every = a.checkpoint_every or (embedding.CHUNK_SINGLE if a.source == "ollama" else embedding.CHUNK_BATCHED)
+        # a model that is loaded stays in its worker; a connection is made anew
+        job = {"source": a.source, "model": a.model, "chunk": every, "limit": a.limit, "stop": stop, "keep_as": f"local {a.model}" if a.source == "local" else None}
+        if a.workers > 1:
+            print("embedded", *embedding.embed_in_shards(articles.read(), spark, store.root, lambda n: (lambda task: make(n)), a.workers, **job))
+        else:
+            held = [store.ids()] if store.manifest()["parts"] else []
+            # a shard of its own has a store of its own, so that jobs on several machines never share one
+            target = VectorStore(spark, f"{parts}/{shard[0]}") if shard else store
+            n = embedding.embed_pending(articles.read(), target, (lambda task: make(shard[0])) if shard else make, shard=shard, also_done=held if shard else (), **job)
+            print(f"embedded {n}")
+        if stop.seen:
+            return 130
+        if a.workers == 1 or a.no_auto_merge:
+            return 0
+    found = shards(spark, parts)
+    if not found:
+        print("no shard has vectors", file=sys.stderr)
+        return 1
+    print("merged", merge_shards(store, [s.read() for s in found], properties=model)["properties"]["ntotal"])
+    return 0
+
+
 def _profile(articles: Table, root: Path, a: argparse.Namespace) -> int:
     df = articles.read()
     out = Path(a.out_dir or root / "profile")

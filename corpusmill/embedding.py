@@ -6,13 +6,15 @@ import json
 import os
 import re
 import signal
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import prompt
@@ -25,6 +27,9 @@ SHORTER = (262144, 131072, 65536, 32768, 16384, 8192, 4096)
 #: Chunk sizes of one commit: for providers that take batches, and for those that take texts one at a time.
 CHUNK_BATCHED, CHUNK_SINGLE = 5000, 50
 
+#: Folder of the shards' stores below a store.
+SHARDS = "shards"
+
 Post = Callable[[str, dict, dict], tuple[int, object]]  # path, body, headers -> status, decoded answer
 
 
@@ -161,8 +166,13 @@ def max_chars() -> int | None:
     return int(v) if v.isdigit() else None
 
 
-def embed(df: DataFrame, make: Callable[[int], Embedder], *, key: str = "pmid", text: str = "prompt", batch: int | None = None, on_empty: str = "error") -> DataFrame:
-    """key and embedding (unit length) of the texts. make is called once per task with the partition's number.
+#: Models of this Python worker by name, so that a model is loaded once and not once per task.
+MODELS: dict[str, Embedder] = {}
+
+
+def embed(df: DataFrame, make: Callable[[int], Embedder], *, key: str = "pmid", text: str = "prompt", batch: int | None = None, on_empty: str = "error", keep_as: str | None = None) -> DataFrame:
+    """key and embedding (unit length) of the texts. make is called once per task with the partition's number, or with
+    keep_as once per Python worker, which keeps the model under this name.
 
     A null or empty text raises, or with on_empty="skip" gives no row.
     """
@@ -174,14 +184,19 @@ def embed(df: DataFrame, make: Callable[[int], Embedder], *, key: str = "pmid",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        model = None
+        from corpusmill import embedding  # the worker's own module, not a copy that travels with this function
+
+        model = embedding.MODELS.get(keep_as) if keep_as else None
         for rows in batches:
             full = rows[rows[text].map(lambda t: isinstance(t, str) and t != "")]
             if len(full) < len(rows) and on_empty == "error":
                 raise ValueError(f"empty text to embed, key {rows[key][~rows.index.isin(full.index)].iloc[0]}")
             for a in range(0, len(full), size):
                 part = full.iloc[a : a + size]
-                model = model or make(TaskContext.get().partitionId())
+                if model is None:
+                    model = make(TaskContext.get().partitionId())
+                    if keep_as:
+                        embedding.MODELS[keep_as] = model
                 x = np.asarray(model(part[text].tolist()), np.float64)
                 n = np.linalg.norm(x, axis=1, keepdims=True)
                 x = np.divide(x, n, out=np.zeros_like(x), where=n > 0).astype(np.float32)
@@ -190,35 +205,68 @@ def embed(df: DataFrame, make: Callable[[int], Embedder], *, key: str = "pmid",
     return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, embedding array<float>")
 
 
+#: Commits of one run at most: with more texts than so many chunks, chunks grow.
+_COMMITS = 1_000
+
+
 def embed_pending(
-    articles: DataFrame, store: VectorStore, make: Callable[[int], Embedder], *, source: str, model: str, chunk: int = CHUNK_BATCHED,
-    limit: int | None = None, shard: tuple[int, int] | None = None, on_empty: str = "error", stop: Callable[[], bool] = lambda: False,
+    articles: DataFrame, store: VectorStore, make: Callable[[int], Embedder], *, source: str, model: str, chunk: int = CHUNK_BATCHED, limit: int | None = None,
+    shard: tuple[int, int] | None = None, on_empty: str = "error", stop: Callable[[], bool] = lambda: False, keep_as: str | None = None, also_done: Sequence[DataFrame] = (),
 ) -> int:
-    """Embeds what is pending in chunks of keys, each committed before the next begins; returns how many were added.
+    """Embeds what is pending in chunks, each committed before the next begins; returns how many were added.
 
-    A stopped or killed run loses the current chunk at most: the next one starts from what the store holds. Another
-    source than the store's raises.
+    What is to do is written once, in buckets of about chunk texts by the hash of the key; each chunk then reads its
+    bucket only. A stopped or killed run loses the current chunk at most: the next one starts from what the store holds.
+    also_done: further keys that aren't embedded again. Another source than the store's raises.
     """
     known = store.properties()
     if known.get("embedding_source", source) != source:
         raise ValueError(f"the store was embedded by {known['embedding_source']}, not by {source}")
-    done = [store.ids()] if store.exists() else []
+    done = [*([store.ids()] if store.manifest()["parts"] else []), *also_done]
     todo = pending(articles, *done, limit=limit, shard=shard).select("pmid", prompt("title", "abstract", max_chars()).alias("prompt"))
-    n, added, after = todo.count(), 0, None
-    # chunks are ranges of keys, found by quantiles, so that no chunk needs a sort of all rows
-    cuts = [] if n <= chunk else todo.approxQuantile("pmid", [i * chunk / n for i in range(1, -(-n // chunk))], 0.01)
-    for cut in [*sorted(set(cuts)), None]:
-        if stop():
-            break
-        rows = todo if after is None else todo.filter(F.col("pmid") > after)
-        rows = rows if cut is None else rows.filter(F.col("pmid") <= cut)
-        before = int(store.properties().get("ntotal", 0))
-        store.add(embed(rows, make, on_empty=on_empty), properties={"embedding_source": source, "model": model})
-        added += int(store.properties().get("ntotal", 0)) - before
-        after = cut
+    name = f"_todo-{uuid.uuid4().hex}"
+    n = todo.count()
+    if not n:
+        return 0
+    buckets = -(-n // max(chunk, -(-n // _COMMITS)))
+    spread = todo.withColumn("bucket", F.pmod(F.xxhash64("pmid"), F.lit(buckets)).cast("int"))
+    # each bucket in several files, since its texts are embedded side by side
+    tasks = F.pmod(F.xxhash64("pmid", F.lit(1)), F.lit(articles.sparkSession.sparkContext.defaultParallelism))
+    spread.repartition("bucket", tasks).write.partitionBy("bucket").parquet(store.folder.path(name))
+    added = 0
+    try:
+        for bucket in store.folder.names(name):
+            if not bucket.startswith("bucket="):
+                continue
+            if stop():
+                break
+            rows = articles.sparkSession.read.parquet(store.folder.path(f"{name}/{bucket}"))
+            before = int(store.properties().get("ntotal", 0))
+            store.add(embed(rows, make, on_empty=on_empty, keep_as=keep_as), properties={"embedding_source": source, "model": model})
+            added += int(store.properties().get("ntotal", 0)) - before
+    finally:
+        store.folder.delete(name)
     return added
 
 
+def embed_in_shards(articles: DataFrame, spark: SparkSession, root: str, makes: Callable[[int], Callable[[int], Embedder]], workers: int, **job) -> list[int]:
+    """Runs a job per shard at the same time, each into a store of its own below root; how many each has added.
+
+    Shards never share a store, so they can't get in each other's way; merge_shards brings them together. Keys that the
+    main store at root holds aren't embedded again. makes gives the providers of a shard. The first failure is raised
+    when all have ended.
+    """
+    main = VectorStore(spark, root)
+    held = [main.ids()] if main.manifest()["parts"] else []
+
+    def one(number: int) -> int:
+        store = VectorStore(spark, f"{root}/{SHARDS}/{number}")
+        return embed_pending(articles, store, makes(number), shard=(number, workers), also_done=held, **job)
+
+    with ThreadPoolExecutor(workers) as pool:
+        return [f.result() for f in [pool.submit(one, i) for i in range(workers)]]
+
+
 class StopOnSignal:
     """True after an interrupt or a request to end, for embed_pending's stop."""
 

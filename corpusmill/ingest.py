@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,25 +10,27 @@ from pyspark.sql import functions as F
 from corpusmill.operators import changes
 from corpusmill.operators.pending import new_files
 from corpusmill.session import checkpointed
-from corpusmill.sources.citation_xml import read_changes
-from corpusmill.store import Table
+from corpusmill.sources.citation_xml import basename, read_changes
+from corpusmill.store import KeyedTable, Table
 
 FIELDS = ("title", "abstract", "year", "journal")
-_LEDGER = "basename string, size_bytes bigint, mtime_ns bigint, path string"
+_LEDGER = "basename string, size_bytes bigint, mtime_ns bigint"
 
 
 def listing(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Name, size, time and path of the given files."""
-    return spark.createDataFrame([(Path(p).name, (s := os.stat(p)).st_size, s.st_mtime_ns, p) for p in paths], _LEDGER)
+    """Name, size and time of the given files, as the file system tells them (contents aren't read)."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select(basename().alias("basename"), F.col("length").alias("size_bytes"), (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"))
 
 
-def merged(current: DataFrame | None, feed: DataFrame, order: dict[str, int]) -> DataFrame:
-    """The articles after the feed: files in the given order, within one first the upserts, then the deletes.
+def merged(current: DataFrame | None, feed: DataFrame, order: DataFrame) -> DataFrame:
+    """The articles after the feed: files in the order of their number (basename, number), within one first the upserts,
+    then the deletes. Files without a number don't count.
 
     The present articles count as a file before all others, so one aggregation by key does all.
     """
-    names = F.create_map(*[F.lit(x) for name, i in order.items() for x in (name, f"0n{i + 1}")])
-    rows = feed.select(names[F.col("basename")].alias("basename"), "ordinal", "op", "pmid", *FIELDS, F.lit(None).cast("timestamp").alias("arrived_at"))
+    # a row per file of the run, whose names the driver holds anyway
+    rows = feed.join(F.broadcast(order), "basename").select(F.concat(F.lit("0n"), F.col("number") + 1).alias("basename"), "ordinal", "op", "pmid", *FIELDS, F.lit(None).cast("timestamp").alias("arrived_at"))
     if current is not None:
         rows = rows.unionByName(current.select(F.lit("0n0").alias("basename"), F.col("pmid").alias("ordinal"), F.lit("insert").alias("op"), "pmid", *FIELDS, F.lit(None).cast("timestamp").alias("arrived_at")))
     return changes.apply_changes(rows, "pmid", FIELDS, trace=False)
@@ -39,16 +39,20 @@ def merged(current: DataFrame | None, feed: DataFrame, order: dict[str, int]) ->
 def ingest(spark: SparkSession, root: str, paths: list[str], *, resume: bool = True, delete_scope: str = "first", on_corrupt: str = "fail", refetch: Callable[[str], None] | None = None, attempts: int = 5) -> dict[str, int]:
     """files, skipped, corrupt, refetched, upserts, deletes: what went into the articles under root.
 
-    Files go in by path. Articles are one version per run; its manifest names the ledger part of the same run, so a file
-    is in both or in neither. refetch is given the path of each corrupt file and replaces it, up to attempts readings in
+    Files go in by path; their names tell them apart. Articles are one version per run, and the ledger follows them: a
+    crash between the two takes the files in again, which changes nothing. refetch is given the path of each corrupt file and replaces it, up to attempts readings in
     all. A file that stays corrupt raises, or with on_corrupt="quarantine" is left out and stays to be taken later.
     """
-    articles, ledger = Table(spark, f"{root}/articles"), Table(spark, f"{root}/ledger")
-    wanted = listing(spark, sorted(paths))
+    articles, ledger = KeyedTable(spark, f"{root}/articles", "pmid"), Table(spark, f"{root}/ledger")
+    out = {"files": 0, "skipped": 0, "corrupt": 0, "refetched": 0, "upserts": 0, "deletes": 0}
+    if not paths:
+        return out
+    at = {p.rpartition("/")[2]: p for p in sorted(paths)}
+    wanted = listing(spark, list(at.values()))
     done = ledger.read() if ledger.exists() else None
     todo = new_files(wanted, done) if resume and done is not None else wanted
-    todo = sorted(r["path"] for r in todo.collect())
-    out = {"files": 0, "skipped": len(paths) - len(todo), "corrupt": 0, "refetched": 0, "upserts": 0, "deletes": 0}
+    todo = sorted(at[r["basename"]] for r in todo.select("basename").collect())
+    out["skipped"] = len(paths) - len(todo)
     if not todo:
         return out
     tolerant = on_corrupt == "quarantine" or refetch is not None
@@ -57,20 +61,23 @@ def ingest(spark: SparkSession, root: str, paths: list[str], *, resume: bool = T
         bad = {r["basename"]: r["problem"] for r in feed.filter("problem is not null").select("basename", "problem").collect()}
         if not bad or refetch is None or attempt == attempts:
             break
-        for path in [p for p in todo if Path(p).name in bad]:
-            refetch(path)
+        for name in sorted(bad):
+            refetch(at[name])
             out["refetched"] += 1
     if bad and on_corrupt != "quarantine":
         raise OSError(f"corrupt: {bad}")
     # sizes and times as they were read, after any replacement
-    taken = [(r["path"], r["basename"], r["size_bytes"], r["mtime_ns"]) for r in listing(spark, todo).collect() if r["basename"] not in bad]
+    taken = [r for r in listing(spark, todo).collect() if r["basename"] not in bad]
+    taken = sorted(taken, key=lambda r: at[r["basename"]])
     out |= {"files": len(taken), "corrupt": len(bad)}
     counts = feed.filter("problem is null").groupBy("op").count().collect()
     out |= {"upserts": sum(r["count"] for r in counts if r["op"] == "update"), "deletes": sum(r["count"] for r in counts if r["op"] == "delete")}
     if taken:
-        order = {t[1]: i for i, t in enumerate(taken)}
-        current = articles.read() if articles.exists() else None
-        rows = spark.createDataFrame([(t[1], t[2], t[3], t[0]) for t in taken], _LEDGER).drop("path").withColumn("ingested_at", F.current_timestamp())
-        articles.overwrite(merged(current, feed.filter("problem is null"), order))
+        order = spark.createDataFrame([(r["basename"], i) for i, r in enumerate(taken)], "basename string, number int")
+        feed = feed.filter("problem is null")
+        # only the buckets of the feed's keys are read and written again
+        buckets = articles.touched(feed)
+        articles.replace(merged(articles.rows(buckets, feed.select("pmid", *FIELDS)), feed, order), buckets)
+        rows = spark.createDataFrame([(r["basename"], r["size_bytes"], r["mtime_ns"]) for r in taken], _LEDGER).withColumn("ingested_at", F.current_timestamp())
         ledger.append(rows)
     return out

@@ -103,6 +103,7 @@ def word_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, d: str) -> DataFrame:
+    """The texts to embed, cut at the length that a model takes: the limit is the feature."""
     return pending.eligible(_articles(spark, d)).select("pmid", text.prompt("title", "abstract", 512).alias("prompt"))
 
 
@@ -265,7 +266,20 @@ _KNN = """select qid, pmid, score, rank from (
     row_number() over (partition by q.vec_id order by round(list_inner_product(q.embedding::double[], e.embedding::double[]), 9) desc, e.vec_id) rank
   from embeddings q, embeddings e where q.vec_id % 20 = 0 {}) where rank <= 10"""
 
+# The words of an abstract with single blanks, and the preview of n characters made of them.
+_FLAT = f"array_to_string(list_filter(regexp_split_to_array(abstract, '{_WS}+'), x -> x <> ''), ' ')"
+
+
+def _preview(n: int) -> str:
+    head = f"rtrim(substr(flat, 1, {n - 3}), ' ')"
+    tail = f"split_part({head}, ' ', -1)"
+    before = f"substr({head}, 1, greatest(0, length({head}) - length({tail}) - 1))"
+    cut = f"case when contains({head}, ' ') and {before} <> '' and length({tail}) < {max(8, n // 4)} then {before} else {head} end"
+    return f"case when length(flat) <= {n} then flat else {cut} || '...' end preview_{n}"
+
+
 ORACLES = {
+    "previews": f"select pmid, substr(flat, 1, 3) preview_3, {_preview(35)}, {_preview(280)} from (select pmid, {_FLAT} flat from articles)",
     "eligible": f"select pmid from articles where {_ELIGIBLE}",
     "pending": f"select pmid from articles a where {_OPEN}",
     "pending_two_states": f"select pmid from articles a where {_OPEN} and pmid not in (select pmid from article_vectors where pmid is not null)",

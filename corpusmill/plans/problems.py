@@ -98,7 +98,8 @@ QUERIES = {
     "p4_years": p4_years,
 }
 
-_CHANGES = r"""
+#: The changes in their order, by key, as seq.
+CHANGES_SQL = r"""
 with rows as (
   select *, lower(substr(ltrim(op, ' ' || chr(9) || chr(10)), 1, 1)) kind,
     coalesce(try_cast(regexp_extract(basename, '(\d+)n(\d+)', 1) as bigint), -1) major,
@@ -167,10 +168,10 @@ select ok.rec_id, cast({_sql_digits("p")} as bigint) pmid, nullif({_sql_text("(a
 from ok join y using (rec_id) left join (
   select rec_id, string_agg(case when label = '' then body else trim(label || ': ' || body, {_BLANKS}) end, chr(10) || chr(10) order by n) abstract from s group by 1) t using (rec_id)
 """,
-    "p2_found": _CHANGES + """
+    "p2_found": CHANGES_SQL + """
 select pmid, basename, ordinal from seq qualify row_number() over (partition by pmid order by n desc) = 1 and kind <> 'd'
 """,
-    "p2_state": _CHANGES + """
+    "p2_state": CHANGES_SQL + """
 select pmid, title, abstract, "year", journal, basename, ordinal from seq
 qualify row_number() over (partition by pmid order by n desc) = 1 and kind <> 'd'
 """,
@@ -187,7 +188,7 @@ select basename "load", r "rows", n, coalesce(different, 0) "different", round(n
   case when n > 1 then round(same / (n * (n - 1)), 6) end repeats, round(most / n, 6) top_share, round(total / n, 6) center, round(divergence, 6) divergence
 from l left join s using (basename) left join d using (basename)
 """,
-    "p2_patched": _CHANGES + """,
+    "p2_patched": CHANGES_SQL + """,
 reset as (select *, coalesce(max(case when kind <> 'u' then n end) over (partition by pmid), 0) r, arg_max(kind, n) over (partition by pmid) last_kind from seq)
 select pmid,
   arg_max(title, n) filter (where kind <> 'd' and n >= r and (kind = 'i' or title is not null)) title,

@@ -69,7 +69,7 @@ def build_index(spark: SparkSession, store: VectorStore, index_root: str, params
         {"built_from_dim": known["dim"], "built_from_ntotal": known["ntotal"], "probes": probes, "cells": len(centroids), "centroids": json.dumps(centroids.tolist())},
         partition_by=["cell"],
     )
-    store.commit(store.manifest()["parts"], {"query_index_type": "ivf"})
+    store.commit(lambda m: m["parts"], {"query_index_type": "ivf"})
     return m
 
 

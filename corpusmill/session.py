@@ -19,6 +19,7 @@ def local_session(app: str = "corpusmill", cores: str | int | None = None) -> Sp
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "8g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
@@ -40,6 +41,12 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of this session's checkpoints, which all executors share."""
+    _ensure_checkpoint_dir(spark)
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df written to the shared checkpoint folder, so that its lineage is cut and a lost executor costs nothing.
 

@@ -1,23 +1,24 @@
-"""A data source for compressed citation files: one partition per file, one row per change, in document order.
+"""Compressed citation files as rows, one per change, in document order.
 
-    spark.dataSource.register(CitationXml)
-    spark.read.format("citation_xml").option("paths", "a.xml.gz,b.xml.gz").load()
+Spark lists and reads the files as binary, from any file system that it knows; each is then scanned element by element.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
-from pathlib import Path
+from typing import BinaryIO
 from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
 
 SCHEMA = "basename string, ordinal bigint, op string, pmid bigint, title string, abstract string, year int, journal string, problem string"
+_ARROW = pa.schema([("basename", pa.string()), ("ordinal", pa.int64()), ("op", pa.string()), ("pmid", pa.int64()), ("title", pa.string()), ("abstract", pa.string()), ("year", pa.int32()), ("journal", pa.string()), ("problem", pa.string())])
 _YEAR = re.compile(r"\b(?:19|20)\d{2}\b")
 CORRUPT = (gzip.BadGzipFile, EOFError, zlib.error, ElementTree.ParseError)
 
@@ -48,7 +49,7 @@ def _year(citation: ElementTree.Element, article: ElementTree.Element) -> int |
     date = _child(article, "Journal", "JournalIssue", "PubDate")
     own = lambda e: e.text if e is not None else None
     year = _whole(own(_child(date, "Year")))
-    if year is None and (m := _YEAR.search(own(_child(date, "MedlineDate")) or "")):
+    if year is None and (m := _YEAR.search(_full_text(_child(date, "MedlineDate")) or "")):
         year = int(m[0])
     for place in (_child(article, "ArticleDate", "Year"), _child(citation, "DateCompleted", "Year")):
         if year is None:
@@ -76,18 +77,19 @@ def record(element: ElementTree.Element) -> tuple | None:
     return pmid, _full_text(_child(article, "ArticleTitle")), _abstract(article), _year(citation, article), _full_text(_child(article, "Journal", "Title"))
 
 
-def changes_in(path: str, delete_scope: str = "first") -> Iterator[tuple]:
-    """basename, ordinal, op, pmid and fields of one file. A delete removes its first id only, or with "all" every one."""
-    base, ordinal = Path(path).name, 0
-    with (gzip.open if path.endswith(".gz") else open)(path, "rb") as f:
+def changes_in(file: BinaryIO | str, delete_scope: str = "first", name: str | None = None) -> Iterator[tuple]:
+    """basename, ordinal, op, pmid, fields and no problem of one compressed file, given by path or open. A delete removes
+    its first id only, or with "all" every one."""
+    base, ordinal = name or str(file).rpartition("/")[2], 0
+    with gzip.open(file, "rb") as f:
         for _, e in ElementTree.iterparse(f, events=("end",)):
-            name = _name(e)
-            if name == "PubmedArticle":
+            tag = _name(e)
+            if tag == "PubmedArticle":
                 if row := record(e):
                     yield base, ordinal, "update", *row, None
                     ordinal += 1
                 e.clear()
-            elif name == "DeleteCitation":
+            elif tag == "DeleteCitation":
                 ids = [_whole(_full_text(c)) for c in e if _name(c) == "PMID"]
                 for pmid in ids[:1] if delete_scope == "first" else ids:
                     if pmid is not None:
@@ -96,54 +98,35 @@ def changes_in(path: str, delete_scope: str = "first") -> Iterator[tuple]:
                 e.clear()
 
 
-@dataclass
-class _File(InputPartition):
-    path: str
+def parsed(files: DataFrame, *, delete_scope: str = "first", on_corrupt: str = "fail") -> DataFrame:
+    """The changes in files, given as basename and content (compressed). With on_corrupt="quarantine" a corrupt file gives
+    one row with the problem and none of its changes. A null content gives no row."""
+    if delete_scope not in ("first", "all") or on_corrupt not in ("fail", "quarantine"):
+        raise ValueError("delete_scope is first or all, on_corrupt is fail or quarantine")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch["basename"], batch["content"]):
+                if not content.is_valid:
+                    continue
+                try:
+                    # a file counts as a whole or not at all, so it is read to its end before any row goes out
+                    rows = list(changes_in(io.BytesIO(content.as_buffer()), delete_scope, name.as_py()))
+                except CORRUPT as e:
+                    if on_corrupt == "fail":
+                        raise
+                    rows = [(name.as_py(), *[None] * 7, f"{type(e).__name__}: {e}")]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        given = options.get("paths") or options.get("path") or ""
-        self.paths = [q for p in given.split(",") if p for q in (sorted(map(str, Path(p).glob("*.xml*"))) if Path(p).is_dir() else [p])]
-        self.scope = options.get("delete_scope", "first")
-        self.on_corrupt = options.get("on_corrupt", "fail")
-        if self.scope not in ("first", "all") or self.on_corrupt not in ("fail", "quarantine"):
-            raise ValueError("delete_scope is first or all, on_corrupt is fail or quarantine")
+    return files.select("basename", "content").mapInArrow(run, SCHEMA)
 
-    def partitions(self) -> list[_File]:
-        return [_File(p) for p in self.paths]
 
-    def read(self, partition: _File) -> Iterator[tuple]:
-        if self.on_corrupt == "fail":
-            yield from changes_in(partition.path, self.scope)
-            return
-        # a file counts as a whole or not at all: it is read through once before any of its rows is given out
-        try:
-            for _ in changes_in(partition.path, self.scope):
-                pass
-        except CORRUPT as e:
-            yield Path(partition.path).name, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"
-            return
-        yield from changes_in(partition.path, self.scope)
-
-
-class CitationXml(DataSource):
-    """Options: paths (files or folders, comma-separated), delete_scope (first, all), on_corrupt (fail, quarantine).
-
-    Quarantine gives one row with the problem for a corrupt file and none of its changes.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "citation_xml"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> _Reader:
-        return _Reader(dict(self.options))
+def basename(path: str = "path"):
+    return F.element_at(F.split(path, "/"), -1)
 
 
 def read_changes(spark: SparkSession, paths: list[str], *, delete_scope: str = "first", on_corrupt: str = "fail") -> DataFrame:
-    spark.dataSource.register(CitationXml)
-    return spark.read.format("citation_xml").option("paths", ",".join(paths)).option("delete_scope", delete_scope).option("on_corrupt", on_corrupt).load()
+    """The changes in the files at these paths or URIs."""
+    files = spark.read.format("binaryFile").load(paths).select(basename().alias("basename"), "content")
+    return parsed(files, delete_scope=delete_scope, on_corrupt=on_corrupt)

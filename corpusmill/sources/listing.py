@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from pathlib import Path
@@ -45,8 +45,11 @@ class Fetched:
     failed: int = 0
 
 
-def fetch(files: Iterable[tuple[str, int | None]], folder: str, read: Callable[[str], bytes], *, force: bool = False, workers: int = 8, limit: int | None = None) -> Fetched:
-    """Writes files (name, remote size) through a partial file that is renamed; a failed one leaves nothing behind."""
+def fetch(files: Iterable[tuple[str, int | None]], folder: str, read: Callable[[str], bytes | Iterator[bytes]], *, force: bool = False, workers: int = 8, limit: int | None = None) -> Fetched:
+    """Writes files (name, remote size) through a partial file that is renamed; a failed one leaves nothing behind.
+
+    read gives the content of a name, whole or in pieces. This is one task's part of a download.
+    """
     out, jobs = Fetched(), []
     for name, size in sorted(files)[: limit if limit is not None else None]:
         out.checked += 1
@@ -60,7 +63,10 @@ def fetch(files: Iterable[tuple[str, int | None]], folder: str, read: Callable[[
         name, target = job
         part = target.with_name(target.name + ".part")
         try:
-            part.write_bytes(read(name))
+            content = read(name)
+            with part.open("wb") as f:
+                for piece in [content] if isinstance(content, bytes) else content:
+                    f.write(piece)
             os.replace(part, target)
             return True
         except Exception:

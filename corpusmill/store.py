@@ -1,96 +1,193 @@
-"""Versioned tables in a folder: immutable version folders and a pointer that is replaced at once.
+"""Versioned tables in a folder: immutable parts, and a numbered manifest per version.
 
-Readers see the version that the pointer names; a crash before the replacement leaves the old one. The manifest of a
-version holds its properties, so data and state can't come apart.
+A manifest appears under its number as a whole or not at all, and no two writers get the same number: a writer that comes
+second looks at what the first one did and tries the next number. Readers take the highest one, so a crash before it
+appears leaves the version before. The manifest holds the properties of its version, so data and state can't come apart.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import uuid
+from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
-from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.files import Folder
+
+#: How often a writer tries the next number before it gives up.
+_ATTEMPTS = 50
+
+
+class Conflict(RuntimeError):
+    """Another writer has made a version in the meantime."""
+
 
 class Table:
     """One table; parts are folders that versions share, so appending costs what is appended."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, Path(root)
+        self.spark, self.folder = spark, Folder(spark, root)
+
+    @property
+    def root(self) -> str:
+        return self.folder.root
 
     def manifest(self) -> dict:
         """parts and properties of the current version; no parts if there is none."""
-        pointer = self.root / "_CURRENT"
-        if not pointer.exists():
-            return {"version": 0, "parts": [], "properties": {}}
-        return json.loads((self.root / pointer.read_text()).read_text())
+        names = [n for n in self.folder.names() if n.startswith("manifest-")]
+        return json.loads(self.folder.read(names[-1])) if names else {"version": 0, "parts": [], "properties": {}}
 
     def exists(self) -> bool:
-        return (self.root / "_CURRENT").exists()
+        return self.manifest()["version"] > 0
 
     def properties(self) -> dict[str, str]:
         return self.manifest()["properties"]
 
     def read(self) -> DataFrame:
-        parts = self.manifest()["parts"]
+        return self._parts(self.manifest()["parts"])
+
+    def _parts(self, parts: list[str]) -> DataFrame:
         if not parts:
             raise FileNotFoundError(f"no version of {self.root}")
-        return self.spark.read.option("basePath", str(self.root)).parquet(*[str(self.root / p) for p in parts])
+        # a part within a bucket's folder: the number of the bucket is no column of the table
+        how = ("recursiveFileLookup", "true") if any("=" in p for p in parts) else ("basePath", self.root)
+        return self.spark.read.option(*how).parquet(*[self.folder.path(p) for p in parts])
 
     def _write(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
         part = f"part-{uuid.uuid4().hex}"
         w = df.write.mode("errorifexists")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(str(self.root / part))
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(self.folder.path(part))
         return part
 
-    def commit(self, parts: list[str], properties: dict | None = None) -> dict:
-        m = self.manifest()
-        m = {"version": m["version"] + 1, "parts": parts, "properties": m["properties"] | {k: str(v) for k, v in (properties or {}).items()}, "committed_at": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")}
-        self.root.mkdir(parents=True, exist_ok=True)
-        name = f"manifest-{m['version']:08d}-{uuid.uuid4().hex[:8]}.json"
-        (self.root / name).write_text(json.dumps(m))
-        tmp = self.root / f"_CURRENT.{uuid.uuid4().hex[:8]}"
-        tmp.write_text(name)
-        os.replace(tmp, self.root / "_CURRENT")
-        return m
+    def commit(self, change: Callable[[dict], list[str]], properties: dict | None = None) -> dict:
+        """A new version with the parts that change makes of the current manifest; change is asked again after a conflict."""
+        for _ in range(_ATTEMPTS):
+            m = self.manifest()
+            new = {"version": m["version"] + 1, "parts": change(m), "properties": m["properties"] | {k: str(v) for k, v in (properties or {}).items()}, "committed_at": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")}
+            if self.folder.publish(f"manifest-{new['version']:010d}.json", json.dumps(new).encode()):
+                return new
+        raise Conflict(f"{self.root} is written by others all the time")
 
     def overwrite(self, df: DataFrame, properties: dict | None = None, partition_by: list[str] | None = None) -> dict:
-        return self.commit([self._write(df, partition_by)], properties)
+        part = self._write(df, partition_by)
+        return self.commit(lambda m: [part], properties)
+
+    def append(self, df: DataFrame, properties: dict | None = None) -> dict:
+        part = self._write(df)
+        return self.commit(lambda m: [*m["parts"], part], properties)
+
+
+class KeyedTable(Table):
+    """A table in buckets by the hash of its key, of which those that a change touches are read and written again."""
+
+    def __init__(self, spark: SparkSession, root: str, key: str, buckets: int = 32):
+        super().__init__(spark, root)
+        self.key = key
+        self.buckets = int(self.properties().get("buckets", buckets))
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def touched(self, df: DataFrame) -> list[int]:
+        """The buckets of the rows' keys."""
+        return sorted(r[0] for r in df.select(self.bucket()).distinct().collect())
+
+    def _in(self, part: str) -> int:
+        return int(part.rpartition("=")[2])
+
+    def rows(self, buckets: Iterable[int], like: DataFrame) -> DataFrame:
+        """The rows in these buckets, with the columns of like; none if there are no parts."""
+        wanted = set(buckets)
+        parts = [p for p in self.manifest()["parts"] if self._in(p) in wanted]
+        return self._parts(parts).select(*like.columns) if parts else like.limit(0)
+
+    def _write_buckets(self, df: DataFrame) -> list[str]:
+        part = self._write(df.withColumn("_bucket", self.bucket()).repartition("_bucket"), ["_bucket"])
+        return [f"{part}/{n}" for n in self.folder.names(part) if n.startswith("_bucket=")]
 
     def append(self, df: DataFrame, properties: dict | None = None) -> dict:
-        return self.commit([*self.manifest()["parts"], self._write(df)], properties)
+        parts = self._write_buckets(df)
+        return self.commit(lambda m: [*m["parts"], *parts], {"buckets": self.buckets} | (properties or {}))
+
+    def replace(self, df: DataFrame, buckets: Iterable[int], properties: dict | None = None) -> dict:
+        """Puts the rows of df in the place of all rows in these buckets. Another version since df was planned is a Conflict."""
+        gone, seen = set(buckets), self.manifest()["version"]
+        parts = self._write_buckets(df)
+
+        def change(m: dict) -> list[str]:
+            if m["version"] != seen:
+                raise Conflict(f"{self.root} has been written by another")
+            return [p for p in m["parts"] if self._in(p) not in gone] + parts
+
+        return self.commit(change, {"buckets": self.buckets} | (properties or {}))
 
 
 class VectorStore(Table):
     """key and embedding; the dimension is learned from the first rows and then enforced, keys are unique."""
 
     def add(self, vectors: DataFrame, *, key: str = "pmid", properties: dict | None = None) -> dict:
-        """Appends vectors of keys that aren't there yet. Other dimensions and keys given twice raise before anything is written."""
-        dims = [r[0] for r in vectors.select(F.size("embedding").alias("d")).distinct().limit(3).collect()]
-        known = self.properties().get("dim")
-        if len(dims) > 1 or (dims and known and str(dims[0]) != known):
-            raise ValueError(f"vectors have dimensions {sorted(dims)}, the store has {known}")
-        if vectors.groupBy(key).count().filter("count > 1").limit(1).count():
-            raise ValueError("a key occurs twice")
-        new = vectors.join(self.read().select(key), key, "left_anti") if self.manifest()["parts"] else vectors
-        part = self._write(new.select(key, "embedding"))
-        n = self.spark.read.parquet(str(self.root / part)).count()
-        if not n:
-            return self.manifest()
-        total = int(self.properties().get("ntotal", 0)) + n
+        """Appends vectors of keys that aren't there yet. Other dimensions and keys given twice raise and add nothing.
+
+        vectors is computed once: it is written, what is written is checked, and only then does a version name it. Keys
+        that another writer has added in the meantime are taken out again.
+        """
+        seen = self.manifest()
+        new = vectors.select(key, "embedding")
+        part = self._write(new.join(self._parts(seen["parts"]).select(key), key, "left_anti") if seen["parts"] else new)
+        try:
+            while True:
+                written = self._parts([part])
+                sizes = written.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).limit(3).collect()
+                n, dims = sum(r["n"] for r in sizes), sorted(r["d"] for r in sizes)
+                m = self.manifest()
+                known = m["properties"].get("dim")
+                if len(dims) > 1 or (dims and known and str(dims[0]) != known):
+                    raise ValueError(f"vectors have dimensions {dims}, the store has {known}")
+                if written.groupBy(key).count().filter("count > 1").limit(1).count():
+                    raise ValueError("a key occurs twice")
+                later = [p for p in m["parts"] if p not in seen["parts"]]
+                if later and written.join(self._parts(later).select(key), key, "left_semi").limit(1).count():
+                    smaller = self._write(written.join(self._parts(later).select(key), key, "left_anti"))
+                    self.folder.delete(part)
+                    part = smaller
+                elif not n:
+                    self.folder.delete(part)
+                    return m
+                else:
+                    try:
+                        return self._name(m, part, n, dims[0], properties)
+                    except Conflict:
+                        pass
+                seen = m
+        except ValueError:
+            self.folder.delete(part)
+            raise
+
+    def _name(self, m: dict, part: str, n: int, dim: int, properties: dict | None) -> dict:
+        def change(now: dict) -> list[str]:
+            if now["version"] != m["version"]:
+                raise Conflict(self.root)
+            return [*now["parts"], part]
+
         # the index is behind as soon as the vectors change
-        return self.commit([*self.manifest()["parts"], part], {"dim": dims[0], "ntotal": total, "query_index_type": "flat"} | (properties or {}))
+        return self.commit(change, {"dim": dim, "ntotal": int(m["properties"].get("ntotal", 0)) + n, "query_index_type": "flat"} | (properties or {}))
 
     def ids(self, key: str = "pmid") -> DataFrame:
         """The keys, from the vectors themselves: there is no second copy to fall behind."""
         return self.read().select(key)
 
 
-def merge_shards(store: VectorStore, shards: list[DataFrame], *, key: str = "pmid") -> dict:
+def shards(spark: SparkSession, root: str) -> list[VectorStore]:
+    """The stores in the numbered folders below root, by number; other folders and stores without vectors are left out."""
+    numbers = sorted(int(n) for n in Folder(spark, root).names() if n.isdigit())
+    found = [VectorStore(spark, f"{root}/{n}") for n in numbers]
+    return [s for s in found if s.manifest()["parts"]]
+
+
+def merge_shards(store: VectorStore, shards: list[DataFrame], *, key: str = "pmid", properties: dict | None = None) -> dict:
     """All shards into the store in one version. A key in two shards, no vector at all or mixed dimensions raise before."""
     shards = [s for s in shards if s.limit(1).count()]
     if not shards:
@@ -98,4 +195,4 @@ def merge_shards(store: VectorStore, shards: list[DataFrame], *, key: str = "pmi
     whole = shards[0].select(key, "embedding")
     for s in shards[1:]:
         whole = whole.unionByName(s.select(key, "embedding"))
-    return store.add(whole, key=key)
+    return store.add(whole, key=key, properties=properties)

@@ -6,10 +6,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from corpusmill.plans import corpus, problems
+from corpusmill.plans import corpus, pipeline, problems
 
-QUERIES = corpus.QUERIES | problems.QUERIES
-ORACLES = corpus.ORACLES | problems.ORACLES
+QUERIES = corpus.QUERIES | pipeline.QUERIES | problems.QUERIES
+ORACLES = corpus.ORACLES | pipeline.ORACLES | problems.ORACLES
 
 
 def plain(v):
