@@ -113,7 +113,7 @@ QUERIES = {
 _WORDS = """
 with t as (select pmid, regexp_extract_all(lower(coalesce(title, '') || ' ' || abstract), '[\\p{L}\\p{N}]+') w,
     abstract, coalesce(title, '') title from articles where pmid is not null
-    and len(list_filter(regexp_split_to_array(abstract, '[\\s\\x1c-\\x1f\\x85\\p{Z}]+'), x -> x <> '')) >= 40),
+    and len(list_filter(regexp_split_to_array(abstract, '[\\s\\x1c-\\x1f\\x85\\p{Z}]+'), lambda x: x <> '')) >= 40),
 e as (select pmid, word, row_number() over (partition by pmid, word) k from (select pmid, unnest(w) word from t)),
 n as (select pmid, len(w) n from t),
 s as (select a.pmid a, b.pmid b, count(*) c from e a join e b on a.word = b.word and a.k = b.k and a.pmid < b.pmid group by all),
@@ -121,8 +121,8 @@ p as (select a, b, c / greatest(x.n, y.n) overlap from s join n x on x.pmid = a
 """
 _NEAREST = """
 with m as (select distinct pmid from embedded_pmids where pmid is not null),
-v as (select distinct on (pmid) pmid, list_transform(embedding::double[], x -> x / sqrt(list_inner_product(embedding::double[], embedding::double[]))) x
-  from article_vectors semi join m using (pmid) where len(embedding) = 64 and not list_bool_or(list_transform(embedding, x -> x is null or isnan(x)))
+v as (select distinct on (pmid) pmid, list_transform(embedding::double[], lambda x: x / sqrt(list_inner_product(embedding::double[], embedding::double[]))) x
+  from article_vectors semi join m using (pmid) where len(embedding) = 64 and not list_bool_or(list_transform(embedding, lambda x: x is null or isnan(x)))
   and list_inner_product(embedding::double[], embedding::double[]) > 0),
 r as (select a.pmid, b.pmid near, row_number() over (partition by a.pmid order by round(list_inner_product(a.x, b.x), 12) desc, b.pmid) rank from v a join v b on a.pmid <> b.pmid)
 """
