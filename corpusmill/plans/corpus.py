@@ -267,7 +267,7 @@ _KNN = """select qid, pmid, score, rank from (
   from embeddings q, embeddings e where q.vec_id % 20 = 0 {}) where rank <= 10"""
 
 # The words of an abstract with single blanks, and the preview of n characters made of them.
-_FLAT = f"array_to_string(list_filter(regexp_split_to_array(abstract, '{_WS}+'), x -> x <> ''), ' ')"
+_FLAT = f"array_to_string(list_filter(regexp_split_to_array(abstract, '{_WS}+'), lambda x: x <> ''), ' ')"
 
 
 def _preview(n: int) -> str:
@@ -319,7 +319,7 @@ ORACLES = {
     "knn_hydrated": f"""select k.qid, k.pmid, k.rank, k.score, split_part(d.text, chr(10), 1) title, d.source journal from ({_KNN.format("")}) k left join documents d on d.doc_id = k.pmid""",
     "ivf_all_cells": _KNN.format(""),
     "ivf_recall": """with v as (select distinct pmid, embedding from article_vectors where pmid is not null and len(embedding) = 64
-        and not list_bool_or(list_transform(embedding, x -> x is null or isnan(x))) and list_inner_product(embedding::double[], embedding::double[]) > 0),
+        and not list_bool_or(list_transform(embedding, lambda x: x is null or isnan(x))) and list_inner_product(embedding::double[], embedding::double[]) > 0),
       q as (select pmid, count(*) c from v where pmid % 20 = 0 group by 1)
       select count(*) queries, coalesce(sum(least(10, (select count(*) from v))), 0)::bigint wanted, true reached from q""",
     "shard_union": "select vec_id pmid, len(embedding)::int dim from embeddings",
