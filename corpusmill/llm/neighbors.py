@@ -39,11 +39,11 @@ class Forest:
     right: np.ndarray
     roots: np.ndarray
 
-    def leaves(self, x: np.ndarray, extra: int) -> tuple[np.ndarray, np.ndarray]:
+    def leaves(self, x: np.ndarray, extra: int, reach: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
         """Home leaves (rows x trees) and the leaves of the extra nearest branches not taken (rows x extra, -1 if none).
 
         One queue for all trees holds the branches by the margin by which they were missed; the nearest is taken and
-        followed to its leaf, which adds the branches missed on that way.
+        followed to its leaf, which adds the branches missed on that way. Branches missed by more than reach stay.
         """
         rows, trees = len(x), len(self.roots)
         cost = np.full((rows, 0), np.inf, np.float32)
@@ -59,7 +59,7 @@ class Forest:
                 break
             at = cost.argmin(axis=1)
             least = cost[everyone, at]
-            go = np.isfinite(least)
+            go = np.isfinite(least) & (least <= reach)
             start = branch[everyone, at]
             cost[everyone, at] = np.inf
             leaf, c, b = self._follow(x, np.where(go, start, 0).astype(np.int32), least)
@@ -293,7 +293,7 @@ def _reranked(merged: DataFrame, source: DataFrame, k: int, dim: int) -> DataFra
 
 def nearest(
     vectors: DataFrame, members: DataFrame, *, k: int = 10, key: str = "pmid", vector: str = "embedding", dim: int = 64,
-    trees: int = 2, visits: int = 2, leaf: int = 12_000, sample: int = 50_000, seed: int = 7,
+    trees: int = 2, visits: int = 6, reach: float = 0.035, leaf: int = 12_000, sample: int = 50_000, seed: int = 7,
 ) -> DataFrame:
     """key, near, rank (from 1) and score (cosine): the k most similar of every key of members with a usable vector.
 
@@ -303,7 +303,9 @@ def nearest(
     the packed vectors, to four digits; ranks within the list go by them, while who is in the list goes by the originals.
 
     leaf is the largest number of vectors per block and sample the number of vectors, about, that the trees are fitted
-    on: both bound what one task and the driver hold. Recall rises with trees, visits and leaf.
+    on: both bound what one task and the driver hold. visits is the largest number of further leaves of a vector, and
+    reach how far beyond a plane, in the unit of the vectors' length, it looks for them: a vector near many planes visits
+    many leaves, one in the middle of its leaves none. Recall rises with trees, visits, reach and leaf.
     """
     members = members.select(F.col(key).cast("bigint").alias("id")).filter(F.col("id").isNotNull()).distinct()
     source = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("vector")).filter(F.col("id").isNotNull() & F.col("vector").isNotNull())
@@ -348,7 +350,7 @@ def nearest(
             if forest is None or not len(at):
                 continue
             ids, raw = batch["id"].to_numpy()[at], np.array(_pack(x), object)
-            home, visit = forest.leaves(x.astype(np.float32), visits)
+            home, visit = forest.leaves(x.astype(np.float32), visits, reach)
             part = np.abs(ids) % np.iinfo(np.int32).max
             for leaves, visitor in ((home, False), (visit, True)):
                 for c in range(leaves.shape[1]):

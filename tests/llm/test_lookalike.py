@@ -2,7 +2,7 @@ import unicodedata
 
 import pytest
 
-from corpusmill.llm.lookalike import look_alikes, normalize, normalized, script_kind
+from corpusmill.llm.lookalike import look_alikes, look_groups, normalize, normalized, script_kind, script_tokens
 
 SAME = [
     ("Effect of drug", "Ｅｆｆｅｃｔ　ｏｆ　ｄｒｕｇ"), ("café über", "café über"), ("a b c", "a b c"), ("abc", "a​b­c﻿"), ("Paper cocoa", "Рaрer сосоa"),
@@ -40,3 +40,18 @@ def test_pairs(spark):
     assert look_alikes(df.limit(0)).count() == 0
     forms = {r.doc_id: r.form for r in normalized(df.drop("form")).collect()}
     assert forms[4] is None and forms[5] == "" and forms[2] == "Ab c"
+
+
+def test_more_scripts_and_accents():
+    assert normalize("ԱՕ") == normalize("ԱO") and normalize("օոհ") == "onh" and normalize("ᎪᏴᏟ") == normalize("ꓮꓐꓚ") == "ABC"
+    assert normalize("\u0430\u030a") == "\u00e5" and normalize("q\u0301x") == normalize("\u051b\u0301\u0445")
+    assert script_kind("հօուն") == "single" and script_kind("оnе") == "mixed" and script_kind("ᎪᏴᏟ") == "whole"
+
+
+def test_groups_and_kinds(spark):
+    rows = [(1, "Ab c"), (2, "Аb c"), (3, "Ab c"), (4, None), (5, " "), (6, "слово сосо"), (7, "слово coco"), (8, "plain")]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id bigint, text string, look string, members int")
+    got = {r.doc_id: (r.look, r.members, r.spellings, r.links) for r in look_groups(df).collect()}
+    assert got == {1: (1, 3, 2, 1), 2: (1, 3, 2, 2), 3: (1, 3, 2, 1), 6: (6, 2, 2, 1), 7: (6, 2, 2, 1), 8: (8, 1, 1, 0)}
+    assert {r.doc_id: (r.mixed, r.whole) for r in script_tokens(df).collect()} == {2: (0, 1), 6: (0, 1)}
+    assert look_groups(df.limit(0)).count() == script_tokens(df.limit(0)).count() == 0
