@@ -113,3 +113,60 @@ def test_cells(spark):
     with pytest.raises(ValueError):
         ivf.Params(probes=0)
     assert ivf.fit(vectors(spark, []), ivf.Params()).size == 0
+
+
+def test_one_odd_query_doesnt_hide_the_others(spark):
+    v = vectors(spark, [(i, [float(i), 1.0]) for i in range(5)])
+    q = vectors(spark, [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0, 0.0])], "qid")
+    assert {r.qid for r in knn.top_k(v, q, 2).collect()} == {1, 2}
+    assert knn.dimension(v) == 2 and knn.top_k(v, q, 2, dim=3).count() == 0
+
+
+def test_lists_are_kept_over_all_rows_of_a_task(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.integers(-3, 4, size=(900, 4)).astype(float))]
+    v, q = vectors(spark, rows).repartition(3), vectors(spark, rows[:40], "qid")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        seen = []
+        real = knn.ranked
+        knn.ranked = lambda hits, *a: (seen.append(hits.count()), real(hits, *a))[1]
+        got = knn.top_k(v, q, 5).collect()
+    finally:
+        knn.ranked = real
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert seen == [3 * 40 * 5]
+    want = brute(rows, rows[:40], 5)
+    assert {i: [r.pmid for r in sorted(got, key=lambda r: r["rank"]) if r.qid == i] for i in want} == want
+
+
+def test_many_queries_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 4)).astype(np.float32).astype(float))]
+    v, q = vectors(spark, rows), vectors(spark, rows[:90], "qid")
+    want = sorted(map(tuple, knn.top_k(v, q, 4, exclude_self=True).collect()))
+    monkeypatch.setattr(knn, "QUERY_BLOCK", 40)
+    monkeypatch.setattr(knn, "VECTOR_BLOCK", 70)
+    assert sorted(map(tuple, knn.top_k(v, q, 4, exclude_self=True).collect())) == want
+
+
+def test_keys_that_are_texts(spark):
+    v = spark.createDataFrame([("b", [1.0]), ("a", [1.0]), ("c", [0.5])], "pmid string, embedding array<float>")
+    assert [r.pmid for r in knn.top_k(v, vectors(spark, [(1, [1.0])], "qid"), 3).orderBy("rank").collect()] == ["a", "b", "c"]
+
+
+def test_cells_follow_the_data(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 8))
+    x = centres[rng.integers(0, 40, 4000)] + 0.4 * rng.normal(size=(4000, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate((x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(float))]
+    v, q = vectors(spark, rows), vectors(spark, rows[::20], "qid")
+    c, probes = ivf.build(v)
+    assert len(c) == 8 and 1 <= probes <= 8
+    index = ivf.assign(v, c).cache()
+    want = brute(rows, rows[::20], 10)
+    exact = {(i, p) for i, ps in want.items() for p in ps}
+    found = {(r.qid, r.pmid) for r in ivf.search(index, c, q, 10, probes).collect()}
+    assert len(found & exact) >= 0.95 * len(exact)
+    # large cells are searched in blocks, with the same result
+    assert {(r.qid, r.pmid) for r in ivf.search(index, c, q, 10, probes, block=60).collect()} == found
