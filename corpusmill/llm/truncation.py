@@ -117,6 +117,7 @@ def _contexts(common: frozenset[str], limits: frozenset[int], byte_limits: froze
             for text in batch["text"]:
                 a = b = c = "^"
                 tokens = text.split()
+                text = text.rstrip()
                 for raw in tokens:
                     d, end = get(raw) or mask(raw)
                     key = (a, b, c, d)
@@ -179,21 +180,23 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     least: occurrences of a context that it takes to believe its share of ends; ends and ends_at_limit: the shares of
     ends below which a value is taken as cut, elsewhere and at a length that is a limit. Repeated keys are judged each.
     """
-    v = F.col("text")
-    texts = df.select(F.col(key).alias("id"), rstrip(text).alias("text")).filter(v.isNotNull() & (v != ""))
-    stem = F.rtrim(v, F.lit(CLOSERS))
+    v, tail = F.col("text"), F.col("tail")
+    raw = df.filter(F.col(text).isNotNull()).select(F.col(text).alias("text"))
+    # stripped once a row: a filter over a plain projection would be pushed below it and strip again for each mention
+    once = F.transform(F.array(rstrip(text)), lambda t: F.struct(t.alias("text"), F.right(t, F.lit(_TAIL)).alias("tail")))
+    texts = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.inline_outer(once)).filter(v != "")
+    stem = F.rtrim(tail, F.lit(CLOSERS))
     dots = stem.endswith("...") | stem.endswith("…")
     # what these patterns can match is at the end and shorter than that
-    tail = F.right(v, F.lit(_TAIL))
-    open_end = texts.filter(dots | ~F.right(stem, F.lit(1)).isin(*STOPS) | tail.rlike(MARK) | tail.rlike(_OPEN_STOP))
+    marked = dots | tail.rlike(MARK)
+    open_end = texts.filter(~F.right(stem, F.lit(1)).isin(*STOPS) | marked | tail.rlike(_OPEN_STOP))
     # values of few words count if they carry a mark and aren't p4's
     short = is_short(v, Limits().few_words)
-    marked = dots | tail.rlike(MARK)
     open_end = open_end.filter(~short | (marked & ~closed_form(v, short)))
     open_end = checkpointed(open_end.select("id", "text", marked.alias("mark"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("same")))
     kind = dict(open_end.dtypes)["id"]
 
-    words = checkpointed(vocabulary(texts.select("text")))
+    words = checkpointed(vocabulary(raw))
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     common = frozenset(r["word"] for r in words.filter(F.col("n") >= max(1.0, _COMMON * total)).select("word").toLocalIterator())
 
@@ -203,7 +206,7 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     at_limit = F.lit(False)
     for c, values in zip(("chars", "bytes"), limits):
         at_limit = at_limit | F.col(c).isin(*values) if values else at_limit
-    found = texts.select("text").mapInPandas(_contexts(common, *limits), "context string, total bigint, ends bigint")
+    found = raw.mapInPandas(_contexts(common, *limits), "context string, total bigint, ends bigint")
     four = checkpointed(found.groupBy("context").agg(F.sum("total").alias("total"), F.sum("ends").alias("ends")))
     three_of, two_of = _shorter(F.col("context"))
     grouped = lambda c: four.groupBy(c.alias("context")).agg(F.sum("total").alias("total"), F.sum("ends").alias("ends"))
