@@ -43,14 +43,16 @@ class Limits:
     """When a value or a load stands out. Parameters, equal at every size.
 
     rare: share of a column's values below which a mask or a class of lengths is rare. few_words: values with at most so
-    many different words are short. copies: rows from which a longer value of a rare length counts as repeated. spread: robust standard deviations of a load from the others. The rest are the least departures that
+    many different words are short. copies and copied: rows, and share of the column, from which a longer value of a rare
+    length counts as repeated. spread: robust standard deviations of a load from the others. The rest are the least departures that
     matter: of a rate, of the share of different values, the chance that two are equal and the share of the top value, of the mean logarithm of
     lengths, of the divergence of masks, and of the mean of numbers.
     """
 
     rare: float = 0.02
     few_words: int = 6
-    copies: int = 3
+    copies: int = 5
+    copied: float = 0.0002
     spread: float = 8.0
     rate: float = 0.12
     distinct: float = 0.12
@@ -143,7 +145,8 @@ def judged(values: DataFrame, limits: Limits = Limits()) -> tuple[DataFrame, Dat
     short = few.filter(F.col("short") & ~F.col("no_text")).groupBy("field", "load").agg(F.count("*").alias("n")).join(loads, ["field", "load"])
     short = short.filter(F.col("n") > limits.rate * (F.col("of") + 6 * F.sqrt("of"))).select("field", "load", F.lit(True).alias("short_load"))
     copies = few.filter(~F.col("short")).groupBy("field", "id").agg(F.count("*").alias("n"), F.min("load").alias("a"), F.max("load").alias("b"))
-    copies = copies.filter((F.col("n") >= limits.copies) & (F.col("a") < F.col("b"))).select("field", "id", F.lit(True).alias("repeated"))
+    many = F.greatest(F.lit(limits.copies), limits.copied * F.col("total"))
+    copies = copies.join(total, "field").filter((F.col("n") >= many) & (F.col("a") < F.col("b"))).select("field", "id", F.lit(True).alias("repeated"))
     joined = few.join(F.broadcast(usual), ["field", "mask"], "left").join(short, ["field", "load"], "left").join(copies, ["field", "id"], "left")
     rare = F.col("short") & F.col("usual").isNull() & F.col("short_load").isNull()
     again = ~F.col("short") & F.col("odd").isNotNull() & F.col("repeated").isNotNull()
