@@ -35,7 +35,7 @@ def test_frequent_values_that_are_no_texts(spark):
 
 
 def test_long_stand_ins_repeat_at_a_rare_length(spark):
-    long = "The following words stand for nothing at all and were put in by a form that wants some text, whatever it is, in this place."
+    long = "The following words stand for nothing at all and were put in by a form that wants some text, whatever it is, in this place and in every other one."
     rows = base(4000) + [(long, 2000, f"load{i % 3}") for i in range(8)] + [(long.replace("nothing", f"x{i}q"), 2000, "load0") for i in range(8)] + [(long + " once", 2000, "load4")] * 8
     got = {r.key for r in quality.text_violations(table(spark, rows), "title", key="pmid", load="basename").collect()}
     # eight of them in several loads; not those that differ, nor those of one load
