@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import chain, count, islice
@@ -241,15 +241,24 @@ def _candidates(bands: DataFrame, share: float) -> DataFrame:
         return pd.Series(likeliest(n - equal, equal, np.zeros(len(n)), na.to_numpy(float), nb.to_numpy(float), _BITS))
 
     needed = F.least(share * nb / (na + nb - share * nb), F.lit(1.0))
-    # three standard errors of an estimate from so many registers, of which neighbouring bands may share some
-    slack = 3 * F.sqrt(needed * (1 - needed) / _EXTRA) * 2**_BITS / (2**_BITS - 1)
+    # standard errors of an estimate from so many registers, of which neighbouring bands may share some
+    slack = 2.5 * F.sqrt(needed * (1 - needed) / _EXTRA) * 2**_BITS / (2**_BITS - 1)
     return seen.filter(similarity("equal", "bands", na, nb) >= needed - slack).select("a", "b")
 
 
 def _overlap(x: pd.Series, y: pd.Series) -> np.ndarray:
     """The shared words' part of the longer text, counted with repeats."""
-    words = lambda raw: Counter(zlib.decompress(raw).decode().split(" "))
-    return np.array([(p & q).total() / max(p.total(), q.total()) for p, q in zip(map(words, x), map(words, y))], float)
+    number: defaultdict[str, int] = defaultdict(count().__next__)
+    found = []
+    for column in (x, y):
+        texts = [zlib.decompress(raw).decode().split(" ") for raw in column]
+        sizes = np.array([len(t) for t in texts])
+        found.append((sizes, np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, sizes.sum())))
+    # how often each word stands in each text, then the lesser of both
+    (keys_x, n_x), (keys_y, n_y) = (np.unique(np.repeat(np.arange(len(sizes)), sizes) * len(number) + ids, return_counts=True) for sizes, ids in found)
+    both, i, j = np.intersect1d(keys_x, keys_y, assume_unique=True, return_indices=True)
+    shared = np.bincount(both // len(number), np.minimum(n_x[i], n_y[j]), len(x))
+    return shared / np.maximum(found[0][0], found[1][0])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
@@ -263,8 +272,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = batch[["a", "b"]].assign(overlap=_overlap(batch["x"], batch["y"]))
-            yield out[out["overlap"] >= share]
+            for begin in range(0, len(batch), _DOCS):
+                part = batch.iloc[begin : begin + _DOCS]
+                out = part[["a", "b"]].assign(overlap=_overlap(part["x"], part["y"]))
+                yield out[out["overlap"] >= share]
 
     return both.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).mapInPandas(run, "a bigint, b bigint, overlap double")
 

@@ -3,10 +3,14 @@
 A value that ends with a mark of cutting was cut; one that ends a sentence wasn't. Of the others the last token decides:
 
 * the vocabulary of the corpus (all tokens but the last of each text) is held as a trie, a table of the proper prefixes
-  of its words; a last token that is no known word but a proper prefix of one was cut;
-* a known word was cut after if texts hardly ever end a sentence or themselves there: the share of ends is counted for
-  the last four, three or two tokens, rare words standing for their class;
-* lengths (in characters or bytes) at which unfinished values pile up are limits of a field, and tip the scales.
+  of its words; a last token that is no known word but a proper prefix of one was cut (reason "prefix");
+* lengths (in characters or bytes) at which unfinished values pile up are limits of a field: a value of such a length was
+  cut unless its last words mostly end a sentence ("limit").
+
+A value that was cut after a whole word, away from a limit, shows neither. It counts if a bracket or a comma is left open
+("open"), or if texts hardly ever end a sentence or themselves after its last words ("context"): the trie is continued
+from words to sentences, and the share of ends is counted for the last four, three or two tokens, rare words standing for
+their class.
 
 Vocabulary, contexts and lengths are counted over all texts, per task first. Only words above a share of all tokens,
 whose number is bounded by that share, are sent to the tasks.
@@ -231,14 +235,16 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     judged = judged.withColumn("ends", F.coalesce(share("t4", "e4"), share("t3", "e3"), share("t2", "e2")))
     unknown = ~F.coalesce("known", F.lit(False))
     code = F.col("mask").isin("<a9>", "<9>")
+    at_limit = F.col("at_limit") & (code | unknown | F.col("ends").isNull() | (F.col("ends") < ends_at_limit))
+    # trie and length first, then what they can't see: a sentence that stops after a whole word
     reason = (
-        F.when(F.col("dangling"), "open")
+        F.when(F.col("stopped"), F.when(F.col("dangling"), "open"))
         .when(unknown & F.coalesce("prefix", F.lit(False)) & ~code, "prefix")
+        .when(at_limit, "limit")
+        .when(F.col("dangling"), "open")
         .when(F.col("ends") < ends, "context")
-        .when(F.col("at_limit") & (code | unknown | F.col("ends").isNull() | (F.col("ends") < ends_at_limit)), "limit")
     )
-    # after a stop, only what is left open tells
-    cut = judged.withColumn("reason", reason).filter(F.col("reason").isNotNull() & ((F.col("reason") == "open") | ~F.col("stopped"))).select("id", "reason")
+    cut = judged.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select("id", "reason")
     return open_end.filter("mark").select("id", F.lit("mark").alias("reason")).unionByName(cut).select(F.col("id").alias(key), "reason")
 
 
