@@ -70,6 +70,8 @@ def _parser() -> argparse.ArgumentParser:
             a.add_argument("--batch-size", type=int, default=32)
             a.add_argument("--batches", type=int, default=20)
             a.add_argument("--warmup", type=int, default=3)
+            a.add_argument("--against", help="another source, whose speed is compared")
+        a.add_argument("--local-device", default=os.environ.get("LOCAL_EMBED_DEVICE"), help="of the local provider; by default the GPU if there is one")
     return p
 
 
@@ -87,7 +89,14 @@ def _make(a: argparse.Namespace):
         from sentence_transformers import SentenceTransformer
     except ImportError:
         raise ValueError("the local provider needs sentence_transformers, which isn't installed") from None
-    return lambda _: (lambda m: lambda texts: m.encode(list(texts)))(SentenceTransformer(embedding.model_name(model)))
+
+    def local(_):
+        m = SentenceTransformer(embedding.model_name(model), device=a.local_device)
+        if str(m.device).startswith("cuda"):
+            m.half()  # half precision pays on a GPU only
+        return lambda texts: m.encode(list(texts))
+
+    return local
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -117,7 +126,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 2
     try:
         if a.command == "benchmark":
-            return _benchmark(make(0), a)
+            return _benchmark([make(0), *([_make(argparse.Namespace(**vars(a) | {"source": a.against}))(0)] if a.against else [])], a)
         spark = spark or local_session()
         articles = KeyedTable(spark, str(root / "articles"), "pmid")
         if a.command == "download":
@@ -191,16 +200,21 @@ def _profile(articles: Table, root: Path, a: argparse.Namespace) -> int:
     return 0
 
 
-def _benchmark(embedder, a: argparse.Namespace) -> int:
+def _benchmark(embedders: list, a: argparse.Namespace) -> int:
     texts = [f"short text number {i} about the outcome of treatment" for i in range(a.batch_size)]
-    for _ in range(a.warmup):
-        embedder(texts)
-    times = []
-    for _ in range(max(1, a.batches)):
-        t = time.perf_counter()
-        embedder(texts)
-        times.append(time.perf_counter() - t)
-    print(f"{len(times) * a.batch_size / sum(times):.1f} texts/s, median batch {np.median(times) * 1000:.2f} ms")
+    rates = []
+    for embedder in embedders:
+        for _ in range(a.warmup):
+            embedder(texts)
+        times = []
+        for _ in range(max(1, a.batches)):
+            t = time.perf_counter()
+            embedder(texts)
+            times.append(time.perf_counter() - t)
+        rates.append(len(times) * a.batch_size / sum(times))
+        print(f"{rates[-1]:.1f} texts/s, median batch {np.median(times) * 1000:.2f} ms")
+    if len(rates) > 1:
+        print(f"ratio {rates[0] / rates[1]:.2f}")
     return 0
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import strip
+from corpusmill.session import checkpointed
 
 #: The item tables; each row has rec_id, parent_no (0: the record), item_no (from 1) and item.
 ENTITIES = ("year", "journal", "section", "author", "affiliation", "heading", "qualifier")
@@ -153,12 +154,20 @@ def items(raw: DataFrame, **columns: str) -> DataFrame:
 
 
 def tables(raw: DataFrame, **columns: str) -> dict[str, DataFrame]:
-    """A table per entity (rec_id, parent_no, item_no, item), "text" with the section texts, and "articles"."""
-    arrays = _arrays(citations(raw, **columns))
+    """A table per entity (rec_id, parent_no, item_no, item), "text" with the section texts, and "articles".
+
+    The payloads are parsed once: the arrays of all tables are written, and each table is one inline() of its array.
+    """
+    arrays = checkpointed(_arrays(citations(raw, **columns)))
     out = {e: _rows(arrays, "rec_id", F.col(e), "entity").drop("entity") for e in (*ENTITIES, "text")}
     return out | {"articles": articles(raw, **columns)}
 
 
+def texts(raw: DataFrame, **columns: str) -> DataFrame:
+    """The table of section texts alone."""
+    return _rows(_arrays(citations(raw, **columns)), "rec_id", F.col("text"), "entity").drop("entity")
+
+
 def articles(raw: DataFrame, **columns: str) -> DataFrame:
     """rec_id, pmid, title, abstract, year, journal of the usable records, as the article table has them.
 

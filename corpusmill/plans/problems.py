@@ -22,7 +22,14 @@ def p1_articles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_texts(spark: SparkSession, d: str) -> DataFrame:
-    return nested.tables(table(spark, d, "raw_citations"))["text"]
+    return nested.texts(table(spark, d, "raw_citations"))
+
+
+def p1_qualifiers(spark: SparkSession, d: str) -> DataFrame:
+    """One of the tables that are made together, with the headings that its rows belong to."""
+    t = nested.tables(table(spark, d, "raw_citations"))
+    heading = t["heading"].select("rec_id", F.col("item_no").alias("parent_no"), F.col("item").alias("heading"))
+    return t["qualifier"].join(heading, ["rec_id", "parent_no"], "left").select("rec_id", "parent_no", "item_no", "item", "heading")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -89,6 +96,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_articles": p1_articles,
     "p1_texts": p1_texts,
+    "p1_qualifiers": p1_qualifiers,
     "p2_found": p2_found,
     "p2_state": p2_state,
     "p2_patched": p2_patched,
@@ -160,6 +168,10 @@ select rec_id, entity, parent_no, item_no, item from (
   union all select rec_id, 'heading', 0, n, {_sql_text("(x->'$.DescriptorName')")} from h
   union all select rec_id, 'qualifier', pn, n, {_sql_text("x")} from q) where item <> ''
 union all select rec_id, 'section', 0, n, label from s
+""",
+    "p1_qualifiers": _CITATIONS + f"""
+select q.rec_id, pn parent_no, q.n item_no, {_sql_text("q.x")} item, nullif({_sql_text("(h.x->'$.DescriptorName')")}, '') heading
+from q join h on h.rec_id = q.rec_id and h.n = q.pn where {_sql_text("q.x")} <> ''
 """,
     "p1_texts": _CITATIONS + "select rec_id, 0 parent_no, n item_no, body item from s",
     "p1_articles": _CITATIONS + f"""

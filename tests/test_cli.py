@@ -34,6 +34,12 @@ def test_benchmark(capsys):
     assert "texts/s" in capsys.readouterr().out
 
 
+def test_benchmark_of_two(capsys):
+    assert main(["benchmark", "--model", "m", "--batches", "1", "--warmup", "0", "--against", "hashing"]) == 0
+    assert "ratio" in capsys.readouterr().out
+    assert main(["benchmark", "--model", "m", "--against", "nothing"]) == 1
+
+
 @pytest.mark.parametrize("bad", [["query"], ["nothing"], ["profile", "--word-bins", "x"]])
 def test_wrong_arguments(bad):
     assert main(bad) == 2
