@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import WS_CHARS, rstrip
+from corpusmill.functions.text import WS_CHARS, ends_in_space, rstrip
 from corpusmill.operators.quality import Limits, closed_form, is_short
 from corpusmill.session import checkpointed
 
@@ -187,7 +187,7 @@ def truncated(df: DataFrame, *, key: str = "pmid", text: str = "abstract", least
     v, tail = F.col("text"), F.col("tail")
     raw = df.filter(F.col(text).isNotNull()).select(F.col(text).alias("text"))
     # stripped once a row: a filter over a plain projection would be pushed below it and strip again for each mention
-    once = F.transform(F.array(rstrip(text)), lambda t: F.struct(t.alias("text"), F.right(t, F.lit(_TAIL)).alias("tail")))
+    once = F.transform(F.array(F.when(ends_in_space(text), rstrip(text)).otherwise(F.col(text))), lambda t: F.struct(t.alias("text"), F.right(t, F.lit(_TAIL)).alias("tail")))
     texts = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.inline_outer(once)).filter(v != "")
     stem = F.rtrim(tail, F.lit(CLOSERS))
     dots = stem.endswith("...") | stem.endswith("…")
