@@ -219,10 +219,13 @@ def embed_pending(
     bucket only. A stopped or killed run loses the current chunk at most: the next one starts from what the store holds.
     also_done: further keys that aren't embedded again. Another source than the store's raises.
     """
-    known = store.properties()
+    before = store.manifest()
+    known = before["properties"]
     if known.get("embedding_source", source) != source:
         raise ValueError(f"the store was embedded by {known['embedding_source']}, not by {source}")
-    done = [*([store.ids()] if store.manifest()["parts"] else []), *also_done]
+    # what is to do is found against these parts, and later chunks have other keys than the ones before
+    absent = list(before["parts"])
+    done = [*([store.ids()] if absent else []), *also_done]
     todo = pending(articles, *done, limit=limit, shard=shard).select("pmid", prompt("title", "abstract", max_chars()).alias("prompt"))
     name = f"_todo-{uuid.uuid4().hex}"
     n = todo.count()
@@ -241,9 +244,9 @@ def embed_pending(
             if stop():
                 break
             rows = articles.sparkSession.read.parquet(store.folder.path(f"{name}/{bucket}"))
-            before = int(store.properties().get("ntotal", 0))
-            store.add(embed(rows, make, on_empty=on_empty, keep_as=keep_as), properties={"embedding_source": source, "model": model})
-            added += int(store.properties().get("ntotal", 0)) - before
+            m = store.add(embed(rows, make, on_empty=on_empty, keep_as=keep_as), properties={"embedding_source": source, "model": model}, absent_from=absent)
+            added += m.get("added", 0)
+            absent += m.get("named", [])
     finally:
         store.folder.delete(name)
     return added

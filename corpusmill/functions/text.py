@@ -24,9 +24,16 @@ def rstrip(c: Column | str) -> Column:
     return F.rtrim(_col(c), F.lit(WS_CHARS))
 
 
+def ends_in_space(c: Column | str) -> Column:
+    """Whether the last character is white space; tells cheaply that there is nothing to strip from most texts."""
+    return F.right(_col(c), F.lit(1)).isin(*WS_CHARS)
+
+
 def is_blank(c: Column | str) -> Column:
     """Null, or nothing but white space of any kind: the profile's notion of a missing value."""
-    return _col(c).isNull() | (F.length(strip(c)) == 0)
+    c = _col(c)
+    # trimming looks at every character of a text, so only those are trimmed that begin with a blank
+    return c.isNull() | (c == "") | (F.left(c, F.lit(1)).isin(*WS_CHARS) & (strip(c) == ""))
 
 
 def is_eligible(c: Column | str) -> Column:

@@ -76,8 +76,8 @@ def ingest(spark: SparkSession, root: str, paths: list[str], *, resume: bool = T
         order = spark.createDataFrame([(r["basename"], i) for i, r in enumerate(taken)], "basename string, number int")
         feed = feed.filter("problem is null")
         # only the buckets of the feed's keys are read and written again
-        buckets = articles.touched(feed)
-        articles.replace(merged(articles.rows(buckets, feed.select("pmid", *FIELDS)), feed, order), buckets)
+        buckets, since = articles.touched(feed), articles.manifest()["version"]
+        articles.replace(merged(articles.rows(buckets, feed.select("pmid", *FIELDS)), feed, order), buckets, since=since)
         rows = spark.createDataFrame([(r["basename"], r["size_bytes"], r["mtime_ns"]) for r in taken], _LEDGER).withColumn("ingested_at", F.current_timestamp())
         ledger.append(rows)
     return out

@@ -18,9 +18,9 @@ def norm(v: Column | str) -> Column:
 
 
 def normalized(v: Column | str) -> Column:
-    """The vector with length one; a zero vector stays as it is."""
-    n = norm(v)
-    return F.transform(v, lambda x: F.when(n == 0, x.cast("double")).otherwise(x.cast("double") / F.nullif(n, F.lit(0.0))))
+    """The vector with length one; a zero vector stays as it is. The length is computed once, not for each number."""
+    by = lambda n: F.transform(v, lambda x: F.when(n == 0, x.cast("double")).otherwise(x.cast("double") / F.nullif(n, F.lit(0.0))))
+    return F.get(F.transform(F.array(norm(v)), by), 0)
 
 
 def _matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:

@@ -79,7 +79,7 @@ def hits(spark: SparkSession, vectors: DataFrame, articles: DataFrame, query: Se
     With centroids vectors are those of the index, of which only the nearest cells are read.
     """
     q = spark.createDataFrame([(0, [float(x) for x in query])], "qid int, embedding array<double>").withColumn("embedding", knn.normalized("embedding"))
-    found = knn.top_k(vectors, q, k) if centroids is None else ivf.search(vectors, centroids, q, k, probes or len(centroids))
+    found = knn.top_k(vectors, q, k, dim=len(query)) if centroids is None else ivf.search(vectors, centroids, q, k, probes or len(centroids))
     # k rows, however many vectors and articles there are; written once, since two joins read them
     few = F.broadcast(checkpointed(found.drop("qid")))
     known = articles.join(few.select("pmid"), "pmid", "left_semi")

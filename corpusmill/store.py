@@ -112,9 +112,12 @@ class KeyedTable(Table):
         parts = self._write_buckets(df)
         return self.commit(lambda m: [*m["parts"], *parts], {"buckets": self.buckets} | (properties or {}))
 
-    def replace(self, df: DataFrame, buckets: Iterable[int], properties: dict | None = None) -> dict:
-        """Puts the rows of df in the place of all rows in these buckets. Another version since df was planned is a Conflict."""
-        gone, seen = set(buckets), self.manifest()["version"]
+    def replace(self, df: DataFrame, buckets: Iterable[int], properties: dict | None = None, *, since: int | None = None) -> dict:
+        """Puts the rows of df in the place of all rows in these buckets.
+
+        since is the version that df was made of, by default the present one; another version after it is a Conflict.
+        """
+        gone, seen = set(buckets), self.manifest()["version"] if since is None else since
         parts = self._write_buckets(df)
 
         def change(m: dict) -> list[str]:
@@ -128,15 +131,25 @@ class KeyedTable(Table):
 class VectorStore(Table):
     """key and embedding; the dimension is learned from the first rows and then enforced, keys are unique."""
 
-    def add(self, vectors: DataFrame, *, key: str = "pmid", properties: dict | None = None) -> dict:
+    def add(self, vectors: DataFrame, *, key: str = "pmid", properties: dict | None = None, absent_from: Iterable[str] = ()) -> dict:
         """Appends vectors of keys that aren't there yet. Other dimensions and keys given twice raise and add nothing.
 
         vectors is computed once: it is written, what is written is checked, and only then does a version name it. Keys
-        that another writer has added in the meantime are taken out again.
+        that another writer has added in the meantime are taken out again. absent_from: parts that are known not to hold
+        any of the keys, which then aren't read. Besides the manifest it tells how many were added and the part that they
+        are in; neither is there if nothing was new.
         """
-        seen = self.manifest()
-        new = vectors.select(key, "embedding")
-        part = self._write(new.join(self._parts(seen["parts"]).select(key), key, "left_anti") if seen["parts"] else new)
+        compared = set(absent_from)
+
+        def unseen(m: dict) -> list[str]:
+            return [p for p in m["parts"] if p not in compared]
+
+        def without(df: DataFrame, parts: list[str]) -> DataFrame:
+            return df.join(self._parts(parts).select(key), key, "left_anti") if parts else df
+
+        present = unseen(self.manifest())
+        part = self._write(without(vectors.select(key, "embedding"), present))
+        compared.update(present)
         try:
             while True:
                 written = self._parts([part])
@@ -148,9 +161,9 @@ class VectorStore(Table):
                     raise ValueError(f"vectors have dimensions {dims}, the store has {known}")
                 if written.groupBy(key).count().filter("count > 1").limit(1).count():
                     raise ValueError("a key occurs twice")
-                later = [p for p in m["parts"] if p not in seen["parts"]]
+                later = unseen(m)
                 if later and written.join(self._parts(later).select(key), key, "left_semi").limit(1).count():
-                    smaller = self._write(written.join(self._parts(later).select(key), key, "left_anti"))
+                    smaller = self._write(without(written, later))
                     self.folder.delete(part)
                     part = smaller
                 elif not n:
@@ -161,7 +174,7 @@ class VectorStore(Table):
                         return self._name(m, part, n, dims[0], properties)
                     except Conflict:
                         pass
-                seen = m
+                compared.update(later)
         except ValueError:
             self.folder.delete(part)
             raise
@@ -173,7 +186,8 @@ class VectorStore(Table):
             return [*now["parts"], part]
 
         # the index is behind as soon as the vectors change
-        return self.commit(change, {"dim": dim, "ntotal": int(m["properties"].get("ntotal", 0)) + n, "query_index_type": "flat"} | (properties or {}))
+        done = self.commit(change, {"dim": dim, "ntotal": int(m["properties"].get("ntotal", 0)) + n, "query_index_type": "flat"} | (properties or {}))
+        return done | {"added": n, "named": [part]}
 
     def ids(self, key: str = "pmid") -> DataFrame:
         """The keys, from the vectors themselves: there is no second copy to fall behind."""
