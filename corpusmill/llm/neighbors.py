@@ -261,6 +261,11 @@ def _merged(k: int):
     return run
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
+
+
 def _reranked(merged: DataFrame, source: DataFrame, k: int, dim: int) -> DataFrame:
     """id and c, the k best of each list (away, near): where packed cosines leave open who is among them, by the originals.
 
@@ -307,7 +312,8 @@ def nearest(
     reach how far beyond a plane, in the unit of the vectors' length, it looks for them: a vector near many planes visits
     many leaves, one in the middle of its leaves none. Recall rises with trees, visits, reach and leaf.
     """
-    members = members.select(F.col(key).cast("bigint").alias("id")).filter(F.col("id").isNotNull()).distinct()
+    members = checkpointed(members.select(F.col(key).cast("bigint").alias("id")).filter(F.col("id").isNotNull()).distinct())
+    members = small(members)
     source = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("vector")).filter(F.col("id").isNotNull() & F.col("vector").isNotNull())
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,13 +326,13 @@ def nearest(
     one = checkpointed(hashed.groupBy("id").agg(F.min("h").alias("h")))
     part = one.join(members, "id", "left_semi")
     # equal vectors: the least key stands for all of them
-    equal = part.groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("n")).filter("n > 1")
-    equal = checkpointed(part.join(equal, "h").select("rep", "id"))
+    same = checkpointed(part.groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("n")).filter("n > 1").select("h", "rep"))
+    equal = checkpointed(part.join(small(same), "h").select("rep", "id"))
     few = equal.count() <= _BROADCAST_ROWS
     hint = F.broadcast if few else (lambda df: df)
     apart = checkpointed(one.join(members, "id", "left_anti").select("id").unionByName(equal.filter("id <> rep").select("id")))
     size = one.count() - apart.count()
-    used = source.join(F.broadcast(apart) if apart.count() <= _BROADCAST_ROWS else apart, "id", "left_anti")
+    used = source.join(small(apart), "id", "left_anti")
 
     # from all partitions alike, without a limit that would prefer the first ones
     picked = used.sample(min(1.0, sample / max(1, size)), seed).select("vector").toArrow()
