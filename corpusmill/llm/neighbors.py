@@ -298,7 +298,7 @@ def _reranked(merged: DataFrame, source: DataFrame, k: int, dim: int) -> DataFra
 
 def nearest(
     vectors: DataFrame, members: DataFrame, *, k: int = 10, key: str = "pmid", vector: str = "embedding", dim: int = 64,
-    trees: int = 2, visits: int = 6, reach: float = 0.035, leaf: int = 12_000, sample: int = 50_000, seed: int = 7,
+    trees: int = 2, visits: int = 6, reach: float = 0.05, leaf: int = 12_000, sample: int = 50_000, seed: int = 7,
 ) -> DataFrame:
     """key, near, rank (from 1) and score (cosine): the k most similar of every key of members with a usable vector.
 
