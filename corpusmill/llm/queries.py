@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusmill.llm import dedup, lookalike, neighbors, packing, tokenizer, truncation
 from corpusmill.plans.tables import table
@@ -18,7 +19,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 def p3_overlaps(spark: SparkSession, d: str) -> DataFrame:
     """The pairs of representatives of equal texts, with the share of words."""
     pairs, _ = dedup.similar_representatives(table(spark, d, "articles"))
-    return pairs.select("a", "b", dedup.F.round("overlap", 6).alias("overlap"))
+    return pairs.select("a", "b", F.round("overlap", 6).alias("overlap"))
 
 
 def p3_groups(spark: SparkSession, d: str) -> DataFrame:
@@ -64,8 +65,9 @@ def p8_bins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_unsound(spark: SparkSession, d: str) -> DataFrame:
-    """What a plan mustn't have: containers that hold too much, and documents whose pieces don't make up the whole."""
-    return packing.unsound(tokenizer.token_counts(table(spark, d, "documents")), CAPACITY)
+    """How many containers hold too much, and how many documents aren't made up by their pieces: none may be."""
+    wrong = packing.unsound(tokenizer.token_counts(table(spark, d, "documents")), CAPACITY)
+    return wrong.agg(F.count("bin_id").alias("containers"), F.count("doc_id").alias("documents"))
 
 
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -133,5 +135,5 @@ ORACLES: dict[str, str] = {
       select a, b, round(overlap, 6) overlap from p where a in (select rep from c where rep = pmid) and b in (select rep from c where rep = pmid)""",
     "p6_found": _NEAREST + "select distinct least(pmid, near) pmid_a, greatest(pmid, near) pmid_b from r where rank <= 10",
     "p7_decoded": "select doc_id, coalesce(text, '') text from documents",
-    "p8_unsound": "select 0::bigint doc_id, 0::bigint bin_id, 0::bigint n_tokens where false",
+    "p8_unsound": "select 0::bigint containers, 0::bigint documents",
 }

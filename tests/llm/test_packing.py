@@ -60,3 +60,12 @@ def test_ranks_are_whole_in_hot_sizes(spark):
     for r in packing.ranked(df, group=50).collect():
         seen[r.size].append(r["rank"])
     assert all(sorted(v) == list(range(len(v))) for v in seen.values())
+
+
+def test_unsound_plans_are_told(spark, monkeypatch):
+    sizes = spark.createDataFrame([(1, 10), (2, 7), (3, 25), (4, None), (5, 0), (2, 7)], "doc_id bigint, n_tokens bigint")
+    assert packing.unsound(sizes, 10).count() == 0
+    real = packing.pack
+    monkeypatch.setattr(packing, "pack", lambda *a, **k: real(*a, **k).filter("doc_id <> 1").withColumn("bin_id", packing.F.lit(0).cast("bigint")))
+    got = {(r.doc_id, r.bin_id, r.n_tokens) for r in packing.unsound(sizes, 10).collect()}
+    assert got == {(None, 0, 39), (1, None, 0)}
