@@ -205,6 +205,11 @@ def embedded_articles(spark: SparkSession, d: str) -> DataFrame:
     return embed(rows, lambda _: HashingEmbedder(), on_empty="skip")
 
 
+def embedded_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Which articles get a vector, and of what length."""
+    return embedded_articles(spark, d).select("pmid", F.size("embedding").alias("dim"))
+
+
 def search_hits(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: the usual search end to end, a text against all articles, embedded on the way."""
     articles = _articles(spark, d)
@@ -245,6 +250,7 @@ QUERIES = {
     "ivf_recall": ivf_recall,
     "shard_union": shard_union,
     "embedded_articles": embedded_articles,
+    "embedded_sizes": embedded_sizes,
     "search_hits": search_hits,
 }
 
@@ -303,6 +309,7 @@ ORACLES = {
       l as (select *, case when v < b0 * step then b0 - 1 else b0 end b1 from b),
       f as (select case when v >= (case when b1 + 1 = nb then cap else (b1 + 1) * step end) and b1 <> nb - 1 then b1 + 1 else b1 end bin from l)
       select r.range::int bin, count(f.bin) articles from range((select nb from c)) r left join f on f.bin = r.range group by 1""",
+    "embedded_sizes": f"""select pmid, 64::int dim from articles a where {_OPEN} and {_strip(f"replace(concat_ws(' ', {_T}, {_A}), chr(0), '')")} <> ''""",
     "prompts": f"select pmid, substr({_strip(f"replace(concat_ws(' ', {_T}, {_A}), chr(0), '')")}, 1, 512) prompt from articles where {_ELIGIBLE}",
     "journal_slugs": """select coalesce(nullif(lower(trim(regexp_replace(journal, '[^a-zA-Z0-9._-]+', '-', 'g'), '-')), ''), 'model') slug, count(*) articles
       from articles where journal is not null group by 1""",
