@@ -26,7 +26,7 @@ from corpusmill.session import checkpointed
 _BROADCAST_ROWS = 500_000
 #: Candidates beyond the k best that a list keeps for the exact ranking, and the difference of packed cosines up to which
 #: it decides: six standard deviations of what packing does to a difference.
-_MARGIN, _UNSURE = 2, 4e-5
+_MARGIN, _UNSURE = 1, 4e-5
 
 
 @dataclass(frozen=True)
