@@ -33,8 +33,13 @@ CLOSED = (
     rf"|(?:{_MONTH}[ .,-]*)?\d{{1,4}}(?:st|nd|rd|th)?[ .,-]*(?:{_MONTH})?[ .,-]*\d{{0,4}}|{_MONTH}[ .,-]+\d{{1,4}}[ .,-]*\d{{0,4}}|\d{{4}}-\d\d-\d\dt[\d:.]+(?:z|[+-][\d:]+)?"
     r"|[\W_]*(?:(?:n[/.]?a\.?|unknown|null|nil|none|nan|undefined|untitled|unavailable|missing|blank|empty|tb[acd]|todo|asdf\w{0,8}|qwert\w{0,8}|title|abstract|text|test|sample|dummy|placeholder|not[ _](?:applicable|available|provided|known))[\W_]*){1,4})$"
 )
-#: One unit, three times or more; the second form is for the beginning of a long value.
-REPEATED = r"(?i)^\W*(.{1,12}?)(?:[\s_.,;-]*\1){2,}\W*$", r"(?i)^\W*(.{1,12}?)(?:[\s_.,;-]*\1){2,}.{0,12}$"
+#: One unit of up to 12 characters, three times or more and perhaps begun once more, over the whole value.
+#: A unit starts with no separator and has a letter, digit or mark (CLOSED has what has no letter at all), so it fits in one
+#: way only: the loops are possessive, which takes one pass of a long value and no stack.
+_APART = r"[\s_.,;-]*+"
+_UNIT = "((.)" + "(?:(.)" * 11 + ")??" * 11 + ")"
+_BEGUN = "".join(rf"(?:\{i}" for i in range(2, 13)) + ")?" * 10 + ")?+"
+REPEATED = rf"(?iU)^[\W_]*(?=[\W_]{{0,11}}[^\W_])(?![\s_.,;-]){_UNIT}(?:{_APART}\1){{2,}}+{_APART}{_BEGUN}[\W_]*+$"
 _BEGINNING = 240
 
 
@@ -97,8 +102,7 @@ def length_class(c: Column) -> Column:
 
 def closed_form(c: Column, short: Column) -> Column:
     """Whether a short value has a form that is no text."""
-    repeated = F.when(F.length(c) > _BEGINNING, F.substring(c, 1, _BEGINNING).rlike(REPEATED[1])).otherwise(c.rlike(REPEATED[0]))
-    return F.when(short, c.rlike(CLOSED) | repeated).otherwise(False)
+    return F.when(short, c.rlike(CLOSED) | c.rlike(REPEATED)).otherwise(False)
 
 
 def measured(df: DataFrame, fields: dict[str, bool], *, load: str, key: str | None = None, limits: Limits = Limits()) -> DataFrame:

@@ -34,6 +34,19 @@ def test_frequent_values_that_are_no_texts(spark):
     assert got == set(range(len(closed)))
 
 
+def test_repeated_units_are_looked_for_in_whole_values(spark):
+    closed = ["test " * 60, "lorem " * 60 + "lor", "ab\n" * 200, ("Draft" + "-" * 30) * 20, "-" * 300 + "ha ha ha", "ha ha ha" + " " * 300, "(a) " * 100, "слово " * 60, "ha " * 100_000]
+    text = ["test " * 60 + "of the effect", "ha " * 100_000 + "of the effect", "ab\n" * 200 + "in rats", "Malaria " + "in Kenya " * 40, " " * 100_000 + "Malaria in rats", "Введение   " + "в теорию игр " * 30, "-" * 45 + " see note"]
+    c = F.col("v")
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(closed + text)], "i int, v string")
+    got = df.filter(quality.closed_form(c, quality.is_short(c, 6))).collect()
+    assert {r.i for r in got} == set(range(len(closed)))
+    # where short values are usual, the form alone decides
+    usual = ["Malaria"] * 40 + ["Malaria in rats"] * 40
+    df = table(spark, [(t, 2000, "a") for t in [*usual, closed[2], closed[3], text[0], text[3]]])
+    assert {r.key for r in quality.text_violations(df, "title", key="pmid", load="basename").collect()} == {80, 81}
+
+
 def test_long_stand_ins_repeat_at_a_rare_length(spark):
     long = "The following words stand for nothing at all and were put in by a form that wants some text, whatever it is, in this place and in every other one."
     rows = base(4000) + [(long, 2000, f"load{i % 3}") for i in range(8)] + [(long.replace("nothing", f"x{i}q"), 2000, "load0") for i in range(8)] + [(long + " once", 2000, "load4")] * 8
