@@ -157,43 +157,83 @@ def _usable(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return at[good], x[good] / norm[good, None]
 
 
-def _pack(x: np.ndarray) -> list[bytes]:
+def _binary(rows: np.ndarray) -> pa.Array:
+    """An array of binary values, one per row of a matrix of bytes."""
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _bytes(column: pa.Array, width: int = -1) -> np.ndarray:
+    """The matrix of bytes of binary values, all of one width and none null."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return np.zeros((0, max(width, 0)), np.uint8)
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].reshape(len(column), width)
+
+
+def _pack(x: np.ndarray) -> pa.Array:
     """16-bit steps of each vector's largest entry, with the step in front: an error of a few hundred-thousandths of a cosine at most."""
     step = (np.abs(x).max(axis=1) / 32767).astype(np.float32)
     q = np.rint(x / step[:, None]).astype("<i2")
-    raw = np.hstack([step.astype("<f4")[:, None].view(np.uint8), q.view(np.uint8).reshape(len(x), -1)])
-    return [r.tobytes() for r in raw]
+    return _binary(np.hstack([step.astype("<f4")[:, None].view(np.uint8), q.view(np.uint8).reshape(len(x), -1)]))
 
 
 def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    raw = _bytes(column)
     return np.ascontiguousarray(raw[:, :4]).view("<f4")[:, 0].astype(np.float64), np.ascontiguousarray(raw[:, 4:]).view("<i2")
 
 
-#: Columns of a block whose maximum is looked at first.
-_WIDTH = 64
+#: Columns of a block whose maximum is looked at first, and queries of a block.
+_WIDTH, _QUERIES = 16, 256
+#: More than the difference of two products of unit vectors can be off in single precision, for each of their numbers.
+_ROUNDING = 1.5e-7
+#: Times k groups of columns a query beyond which a block is multiplied again in double precision.
+_CROWD = 4
 
 
-def _best(queries: np.ndarray, data: np.ndarray, n: int, own: np.ndarray, k: int) -> np.ndarray:
-    """Positions in data of the k largest products of each query (fewer if there are fewer).
+def _candidates(s: np.ndarray, n: int, own: np.ndarray, k: int, off: float) -> tuple[np.ndarray, np.ndarray] | None:
+    """Row and column, by rows, of the k largest products of each row of s and of all that an error of off may have put
+    behind them; None if these are very many.
 
-    data has n rows, filled up with zeros to a multiple of the width; own: a query's own position in data, or -1.
+    s has n columns, filled up to a multiple of the width, and is changed; own: the column of a row's own vector, or -1.
     """
-    s = queries @ data.T
     s[:, n:] = -np.inf
-    has = own >= 0
-    s[np.flatnonzero(has), own[has]] = -np.inf
+    has = np.flatnonzero(own >= 0)
+    s[has, own[has]] = -np.inf
     groups = s.shape[1] // _WIDTH
-    if groups <= k + 2:
-        k = min(k, n)
-        return np.argpartition(s[:, :n], n - k, axis=1)[:, n - k :]
-    # the k best lie within the k groups of columns that have the largest maxima
-    top = np.argpartition(s.reshape(len(s), _WIDTH, groups).max(1), groups - k, axis=1)[:, groups - k :]
-    columns = (top[:, :, None] + groups * np.arange(_WIDTH)).reshape(len(s), -1)
-    values = np.take_along_axis(s, columns, axis=1)
-    pick = np.argpartition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k :]
-    return np.take_along_axis(columns, pick, axis=1)
+    parts = s.reshape(len(s), _WIDTH, groups)
+    if groups > k:
+        # the k-th largest of the groups' maxima is no larger than the k-th largest product
+        most = parts.max(1)
+        least = np.maximum(np.partition(most, groups - k, axis=1)[:, groups - k] - off, -2)
+        near = most >= least[:, None]
+        if np.count_nonzero(near) > _CROWD * k * len(s):
+            return None
+        row, group = np.divmod(np.flatnonzero(near), groups)
+    else:
+        least = np.full(len(s), -2, np.float32)
+        row, group = np.divmod(np.arange(len(s) * groups), max(1, groups))
+    pick, within = np.divmod(np.flatnonzero(parts[row, :, group] >= least[row][:, None]), _WIDTH)
+    return row[pick], group[pick] + groups * within
+
+
+def _crowded(s: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and product of the k largest exact products of each row, of equal ones those of the first columns."""
+    has = np.flatnonzero(own >= 0)
+    s[has, own[has]] = -np.inf
+    if s.shape[1] > k:
+        least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k, None]
+        take = s >= least
+        if np.count_nonzero(take) > 2 * k * len(s):
+            equal = s == least
+            take &= ~equal | (np.cumsum(equal, axis=1, dtype=np.int32) <= k - (s > least).sum(axis=1, keepdims=True))
+    else:
+        take = np.isfinite(s)
+    row, column = np.nonzero(take)
+    return row, column, s[row, column]
 
 
 def _in_leaf(table: pa.Table, k: int) -> pa.Table:
@@ -207,34 +247,39 @@ def _in_leaf(table: pa.Table, k: int) -> pa.Table:
     ids, visitor, step, q = ids[order], visitor[order], step[order], q[order]
     x = (q * step[:, None]).astype(np.float32)
     data = np.flatnonzero(~visitor)
-    out = []
+    out = [np.zeros((0, 12 * k), np.uint8)]
     if len(data):
         here, home = np.zeros((-(-len(data) // _WIDTH) * _WIDTH, x.shape[1]), np.float32), np.full(len(ids), -1)
         here[: len(data)] = x[data]
         home[data] = np.arange(len(data))
-        for a in range(0, len(ids), 512):
-            b = min(a + 512, len(ids))
-            at = data[_best(x[a:b], here, len(data), home[a:b], k)]
+        products = np.empty((_QUERIES, len(here)), np.float32)
+        for a in range(0, len(ids), _QUERIES):
+            b = min(a + _QUERIES, len(ids))
+            found = _candidates(np.matmul(x[a:b], here.T, out=products[: b - a]), len(data), home[a:b], k, _ROUNDING * x.shape[1])
             # exact for the packed vectors: whole numbers below 2**53, and the product of two steps doesn't depend on their order
-            dots = np.einsum("ij,ikj->ik", q[a:b].astype(np.float64), q[at].astype(np.float64))
-            score = dots * (step[a:b, None] * step[at])
-            score[at == np.arange(a, b)[:, None]] = -np.inf
-            by = np.lexsort((ids[at], -score), axis=1)[:, :k]
-            score, at = np.take_along_axis(score, by, 1), np.take_along_axis(at, by, 1)
-            out.append(_listed(ids[at], -score, k))
+            if found is None:
+                row, column, score = _crowded((q[a:b].astype(np.float64) @ q[data].astype(np.float64).T) * (step[a:b, None] * step[data]), home[a:b], k)
+            else:
+                row, column = found
+                i, j = a + row, data[column]
+                score = np.einsum("ij,ij->i", q[i].astype(np.float64), q[j].astype(np.float64)) * (step[i] * step[j])
+            at = data[column]
+            by = np.lexsort((ids[at], -score, row))
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            by, row, place = by[place < k], row[place < k], place[place < k]
+            near, away = np.zeros((b - a, k), "<i8"), np.full((b - a, k), np.inf, "<f4")
+            near[row, place], away[row, place] = ids[at[by]], -score[by]
+            out.append(_listed(near, away))
     else:
         ids = ids[:0]
-    lists = [r.tobytes() for part in out for r in part]
-    return pa.table({"id": pa.array(ids), "list": pa.array(lists, pa.binary())})
+    return pa.table({"id": pa.array(ids), "list": _binary(np.concatenate(out))})
 
 
-def _listed(near: np.ndarray, away: np.ndarray, k: int) -> np.ndarray:
-    """A row of bytes per list: all first bytes of the k ids, all second ones and so on, which pack better, then those of
-    the distances. Places that are left are infinitely far."""
-    ids, far = np.zeros((len(near), k), "<i8"), np.full((len(near), k), np.inf, "<f4")
-    ids[:, : near.shape[1]], far[:, : near.shape[1]] = near, away
-    planes = lambda x: x.view(np.uint8).reshape(len(x), k, -1).transpose(0, 2, 1).reshape(len(x), -1)
-    return np.hstack([planes(ids), planes(far)])
+def _listed(near: np.ndarray, away: np.ndarray) -> np.ndarray:
+    """A row of bytes per list: all first bytes of the ids, all second ones and so on, which pack better, then those of the
+    distances. Places that are left are infinitely far."""
+    planes = lambda x: x.view(np.uint8).reshape(*x.shape, -1).transpose(0, 2, 1).reshape(len(x), -1)
+    return np.hstack([planes(near), planes(away)])
 
 
 def _merged(k: int):
@@ -244,7 +289,7 @@ def _merged(k: int):
         for batch in batches:
             lists = batch["lists"]
             offsets = lists.offsets.to_numpy()
-            raw = np.frombuffer(b"".join(lists.flatten().to_pylist()), np.uint8).reshape(-1, 12 * k)
+            raw = _bytes(lists.flatten())
             back = lambda x, kind: np.ascontiguousarray(x.reshape(len(x), -1, k).transpose(0, 2, 1)).view(kind).ravel()
             near, away = back(raw[:, : 8 * k], "<i8"), back(raw[:, 8 * k :], "<f4")
             row = np.repeat(np.repeat(np.arange(len(batch)), np.diff(offsets)), k)
@@ -292,7 +337,7 @@ def _reranked(merged: DataFrame, source: DataFrame, k: int, dim: int) -> DataFra
     joined = wide.join(exact, "id", "left")
     sure = F.filter("c", lambda x: x["away"] < F.col("last") - _UNSURE)
     chosen = F.slice(F.transform("decided", lambda e: e["near"]), F.lit(1), F.lit(k) - F.size(sure))
-    kept = F.array_sort(F.concat(sure, F.filter("c", lambda x: F.array_contains(chosen, x["near"]))))
+    kept = F.sort_array(F.concat(sure, F.filter("c", lambda x: F.array_contains(chosen, x["near"]))))
     return joined.select("id", F.when(F.col("decided").isNull(), F.slice("c", 1, k)).otherwise(kept).alias("c"))
 
 
@@ -320,7 +365,7 @@ def nearest(
         for batch in batches:
             at, x = _usable(batch["vector"], dim)
             raw = (np.rint(x * 1e6) + 0.0).astype(np.int32)  # equal directions get equal bytes
-            yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(at)), pa.array([r.tobytes() for r in raw], pa.binary())], ["id", "raw"])
+            yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(at)), _binary(raw.view(np.uint8))], ["id", "raw"])
 
     hashed = source.mapInArrow(narrow, "id bigint, raw binary").select("id", F.struct(F.xxhash64("raw").alias("a"), F.xxhash64(F.lit(1), "raw").alias("b")).alias("h"))
     one = checkpointed(hashed.groupBy("id").agg(F.min("h").alias("h")))
@@ -355,7 +400,7 @@ def nearest(
             at, x = _usable(batch["vector"], dim)
             if forest is None or not len(at):
                 continue
-            ids, raw = batch["id"].to_numpy()[at], np.array(_pack(x), object)
+            ids, raw = batch["id"].to_numpy()[at], _pack(x)
             home, visit = forest.leaves(x.astype(np.float32), visits, reach)
             part = np.abs(ids) % np.iinfo(np.int32).max
             for leaves, visitor in ((home, False), (visit, True)):
@@ -367,7 +412,7 @@ def nearest(
                     block = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
                     away = (part[row] % np.repeat(many, many) != block) | visitor
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(leaves[row, c], pa.int32()), pa.array(block, pa.int32()), pa.array(ids[row]), pa.array(away), pa.array(raw[row].tolist(), pa.binary())],
+                        [pa.array(leaves[row, c], pa.int32()), pa.array(block, pa.int32()), pa.array(ids[row]), pa.array(away), raw.take(pa.array(row))],
                         ["leaf", "block", "id", "visitor", "vector"],
                     )
 
@@ -375,20 +420,21 @@ def nearest(
     lists = placed.groupBy("leaf", "block").applyInArrow(lambda t: _in_leaf(t, k + _MARGIN), "id bigint, list binary")
     # a vector has a list per visit, a bounded number
     merged = lists.groupBy("id").agg(F.collect_list("list").alias("lists")).mapInArrow(_merged(k + _MARGIN), "id bigint, near array<bigint>, away array<float>")
-    merged = _reranked(checkpointed(merged).select("id", F.arrays_zip("away", "near").alias("c")), used, k, dim)
+    merged = checkpointed(merged)
+    lists = _reranked(merged.select("id", F.arrays_zip("away", "near").alias("c")), used, k, dim)
 
     # back to all keys, in one pass over the lists: a neighbour stands for the k least keys with its vector, and a list
-    # goes to every key that has the vector, after those keys themselves
+    # goes to every key that has the vector, after those keys themselves. Lists without equal vectors stay as they are
     firsts = equal.withColumn("n", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).filter(F.col("n") <= k + 1).groupBy("rep").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     firsts = checkpointed(firsts)
-    near = merged.select("id", F.explode_outer("c").alias("c")).select("id", F.col("c.away").alias("away"), F.col("c.near").alias("near"))
-    wide = near.join(hint(firsts.withColumnRenamed("rep", "near")), "near", "left").select("id", "away", F.explode(F.coalesce(F.slice("ids", 1, k), F.array("near"))).alias("near"))
-    listed = F.filter(F.collect_list(F.struct("away", "near")), lambda c: c["near"].isNotNull())
-    others = wide.groupBy("id").agg(F.slice(F.array_sort(listed), 1, k).alias("c"))
+    standing = merged.select("id", F.explode("near").alias("near")).join(hint(firsts.withColumnRenamed("rep", "near")), "near")
+    standing = standing.groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("near", F.slice("ids", 1, k)))).alias("stands"))
+    each = lambda x: F.transform(F.coalesce(F.col("stands")[x["near"]], F.array(x["near"])), lambda n: F.struct(x["away"].alias("away"), n.alias("near")))
+    others = lists.join(standing, "id", "left").select("id", F.when(F.col("stands").isNull(), F.col("c")).otherwise(F.slice(F.sort_array(F.flatten(F.transform("c", each))), 1, k)).alias("c"))
     spread = others.join(hint(equal.select(F.col("rep").alias("id"), F.col("id").alias("copy"))), "id", "left").join(hint(firsts.withColumnRenamed("rep", "id")), "id", "left")
-    own = F.coalesce(F.transform("ids", lambda i: F.struct(F.lit(-1.0).cast("float").alias("away"), i.alias("near"))), F.array().cast("array<struct<away:float,near:bigint>>"))
-    every = spread.select(F.coalesce("copy", "id").alias("id"), F.concat(own, "c").alias("c"))
-    every = every.select("id", F.slice(F.array_sort(F.filter("c", lambda c: c["near"] != F.col("id"))), 1, k).alias("c"))
+    own = F.transform("ids", lambda i: F.struct(F.lit(-1.0).cast("float").alias("away"), i.alias("near")))
+    every = spread.select(F.coalesce("copy", "id").alias("id"), "ids", "c", F.concat(own, "c").alias("all"))
+    every = every.select("id", F.when(F.col("ids").isNull(), F.col("c")).otherwise(F.slice(F.sort_array(F.filter("all", lambda c: c["near"] != F.col("id"))), 1, k)).alias("c"))
     out = every.select("id", F.posexplode("c").alias("n", "c"))
     return out.select(F.col("id").alias(key), F.col("c.near").alias("near"), (F.col("n") + 1).alias("rank"), F.round(-F.col("c.away").cast("double"), 4).alias("score"))
 

@@ -1,7 +1,8 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 
-from corpusmill.llm.neighbors import Forest, _pack, _unpack, fit_forest, nearest, pairs
+from corpusmill.llm.neighbors import Forest, _in_leaf, _merged, _pack, _unpack, fit_forest, nearest, pairs
 
 DIM = 8
 
@@ -90,3 +91,33 @@ def test_steps_are_small():
     step, q = _unpack(pa.array(_pack(x)))
     y = q * step[:, None]
     assert np.abs(x @ x.T - y @ y.T).max() < 3e-5
+
+
+@pytest.mark.parametrize("close", [900, 60])
+def test_lists_of_a_leaf_are_exact_beyond_single_precision(close):
+    # the cosines of the close ones lie within 1e-7, where single-precision products are equal or out of order
+    rng = np.random.default_rng(2)
+    q = np.hstack([np.full((900, 1), 32767), rng.integers(-6, 7, (900, DIM - 1))]).astype("<i2")
+    q[close:, 1:] = rng.integers(-32767, 32768, (900 - close, DIM - 1))
+    step = (1 / np.linalg.norm(q.astype(float), axis=1)).astype("<f4")
+    raw = [s.tobytes() + v.tobytes() for s, v in zip(step, q)]
+    ids = rng.permutation(900).astype(np.int64)
+    visitor = np.arange(900) % 18 == 0
+    lists = _in_leaf(pa.table({"id": ids, "visitor": visitor, "vector": pa.array(raw, pa.binary())}), 5)
+    merged = next(_merged(5)([pa.RecordBatch.from_arrays([lists["id"].combine_chunks(), pa.array([[x] for x in lists["list"].to_pylist()])], ["id", "lists"])]))
+    got = dict(zip(merged["id"].to_pylist(), merged["near"].to_pylist()))
+    cosine = (q.astype(np.int64) @ q.astype(np.int64).T) * np.outer(step.astype(float), step.astype(float))
+    wanted = {int(ids[i]): sorted((-cosine[i, j] for j in np.flatnonzero(~visitor) if j != i))[:5] for i in range(900)}
+    at = {int(p): i for i, p in enumerate(ids)}
+    assert set(got) == set(wanted)
+    assert all(len(set(n)) == 5 and p not in n and not visitor[[at[x] for x in n]].any() for p, n in got.items())
+    assert all(sorted(-cosine[at[p], at[x]] for x in n) == wanted[p] for p, n in got.items())
+
+
+def test_lists_without_equal_vectors_are_not_collected_again(spark):
+    rows = clusters(60) + [(100 + i, [1.0] * DIM) for i in range(4)]
+    out = nearest(*frames(spark, rows, range(200)), k=3, dim=DIM)
+    assert "collect_list(struct(away" not in out._jdf.queryExecution().optimizedPlan().toString()
+    want = brute(rows, {p for p, _ in rows}, 3)
+    got = lists(out)
+    assert set(got) == set(want) and all(got[100 + i] == want[100 + i] for i in range(4))
